@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from millrace.llm.packing import op1_pack
+from millrace.llm import quality_rules
+from millrace.llm.quality_rules import op9_quality_rules
 from millrace.llm.token_ids import op6_token_ids
 
 QUERIES = {
     "op1_pack": op1_pack,
     "op6_token_ids": op6_token_ids,
+    "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_quality_rules": quality_rules.ORACLE}
