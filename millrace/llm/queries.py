@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from millrace.llm.packing import op1_pack
-from millrace.llm import quality_rules
+from millrace.llm import mixing, quality_rules
+from millrace.llm.mixing import op7_mixing
 from millrace.llm.quality_rules import op9_quality_rules
 from millrace.llm.token_ids import op6_token_ids
 
 QUERIES = {
     "op1_pack": op1_pack,
     "op6_token_ids": op6_token_ids,
+    "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_quality_rules": quality_rules.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
