@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.ngram_join import op10_ngram_join
 from millrace.llm.packing import op1_pack
 from millrace.llm import mixing, quality_rules
 from millrace.llm.mixing import op7_mixing
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op6_token_ids": op6_token_ids,
     "op7_mixing": op7_mixing,
+    "op10_ngram_join": op10_ngram_join,
     "op9_quality_rules": op9_quality_rules,
 }
 
