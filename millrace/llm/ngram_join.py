@@ -31,55 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import load, materialize, slices
+from millrace.llm.common import free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
 from millrace.llm.components import components
 
-_MASK = (1 << 64) - 1
-
-
-def multipliers(n: int):
-    """n odd 64-bit constants from splitmix64."""
-    import numpy as np
-
-    out, x = [], 0
-    for _ in range(n):
-        x = (x + 0x9E3779B97F4A7C15) & _MASK
-        z = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & _MASK
-        out.append((z ^ (z >> 31)) | 1)
-    return np.array(out, np.uint64)
-
-
-def mixed(x):
-    """splitmix64's finalizer on unsigned 64-bit integers."""
-    import numpy as np
-
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_words = _WordHashes()
-
-
-def word_hashes(words: list[bytes]):
-    import numpy as np
-
-    if len(_words) > 1_000_000:
-        _words.clear()
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-
-
 def shingle_set(text: bytes, n: int):
     """The set as ascending unsigned 64-bit hashes."""
     import numpy as np
@@ -347,11 +301,6 @@ def allocate(groups: DataFrame, percent: int, pair_cost: float = 1 / 40, least_p
 # ---------------------------------------------------------------- join
 
 
-def _free(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of what has been written."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 512, pair_cost: float = 1 / 40, least_pairs: int = 1 << 16) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -367,7 +316,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     # groups without an indexed member hold no candidates
     shared = posted.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max("own").over(group))
     shared = materialize(shared.where("high > low and indexed").drop("indexed", "high"), "ngram-groups")
-    _free(spark)
+    free_shuffles(spark)
     sizes = shared.groupBy("sig", "band", "segment").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
     volume = rows.groupBy("band").agg(F.count("*").alias("docs"))
     volume = volume.union(volume.withColumn("band", F.col("band") - 1)).groupBy("band").agg(F.sum("docs").alias("docs"))
@@ -381,7 +330,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     digests = reps.select("doc_id", "digest").distinct()
     wanted = texts.join(needed.join(digests, "doc_id"), "doc_id").select("doc_id", "text", "digest")
     sets = materialize(_sets(wanted, n, percent), "ngram-sets")
-    _free(spark)
+    free_shuffles(spark)
     stars = shared.where("doc <> low").select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
     links = materialize(_verified(stars, sets, percent), "ngram-links")
     joined = components(links)
