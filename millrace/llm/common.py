@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import tempfile
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
-_WORD_CHUNK = re.compile(r"[^ \t-\r]+")
-_BYTE_CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+_BYTE_CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+_MARKS = frozenset(b".,;:!?")
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_PLAIN_GAPS = re.compile(rb"[ \n][ \n]|[\t\x0b\x0c\r]")
 #: White space that is not ASCII: with it in a text, byte-level pieces do not end where ASCII white space starts.
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -80,6 +83,59 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of what has been written."""
+    spark.sparkContext._jvm.System.gc()
+
+
+# ---------------------------------------------------------------- hashes
+
+_MASK = (1 << 64) - 1
+
+
+def multipliers(n: int):
+    """n odd 64-bit constants from splitmix64."""
+    import numpy as np
+
+    out, x = [], 0
+    for _ in range(n):
+        x = (x + 0x9E3779B97F4A7C15) & _MASK
+        z = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
+        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & _MASK
+        out.append((z ^ (z >> 31)) | 1)
+    return np.array(out, np.uint64)
+
+
+def mixed(x):
+    """splitmix64's finalizer on unsigned 64-bit integers."""
+    import numpy as np
+
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
+_words = _WordHashes()
+
+
+def word_hashes(words: list[bytes]):
+    import numpy as np
+
+    if len(_words) > 1_000_000:
+        _words.clear()
+    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+
+
 # ---------------------------------------------------------------- tokenizers
 
 
@@ -90,48 +146,136 @@ def tokenizer_file(name: str) -> str:
 
 
 class Encoder:
-    """Whole-text encoding through the tokenizers library, remembering each distinct white-space chunk.
+    """Whole-text encoding through the tokenizers library, remembering the ids of each distinct chunk.
 
     A text's ids are the ids of its chunks in order: neither kind of vocabulary merges across the places where
     chunks are cut (byte level: before white space that follows other characters; word level: at white space).
-    Texts with white space outside ASCII go to the library whole. At most ``keep`` chunks are remembered.
+    Byte-level texts with white space outside ASCII are one chunk. New chunks go to the library joined, many at a time,
+    and their ids are told apart by the tokens' lengths in bytes; where the ends don't agree, each chunk goes by itself.
+    Word-level vocabularies are taken to ignore the case of A-Z.
+    At most ``keep`` chunks of at most ``keep_bytes`` are remembered.
+
+    Byte-level keys stand for " " + key, for key itself if it starts with a line feed, and for the rest after FIRST.
     """
 
-    def __init__(self, path: str, byte_level: bool, keep: int = 1_000_000, keep_chars: int = 64):
+    FIRST = b"\xff"
+    BREAK = b"\xfe"  # a key without ids, for places between words
+
+    def __init__(self, path: str, byte_level: bool, keep: int = 1_000_000, keep_bytes: int = 64):
+        import numpy as np
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.byte_level, self.keep, self.keep_chars = byte_level, keep, keep_chars
-        self.pattern = _BYTE_CHUNK if byte_level else _WORD_CHUNK
-        self.known: dict[str, bytes] = {}
+        self.byte_level, self.keep, self.keep_bytes = byte_level, keep, keep_bytes
+        self.known: dict[bytes, bytes] = {self.BREAK: b""}
+        self.marks: dict[int, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters of a token stand for bytes
+        for token, i in vocabulary.items():
+            self.width[i] = len(token if byte_level else token.removesuffix("</w>"))
+
+    def keys(self, text: bytes) -> list[bytes]:
+        if not self.byte_level:
+            return text.lower().split()  # of A-Z, as the vocabulary's own lower-casing does
+        if not text:
+            return []
+        if not (_PLAIN_GAPS.search(text) or text[0] in b" \n" or text[-1] in b" \n"):
+            if text.isascii() or not _ODD_SPACE.search(text.decode()):
+                keys = text.replace(b"\n", b" \n").split(b" ")
+                keys[0] = self.FIRST + keys[0]
+                return keys
+            return [self.FIRST + text]
+        if not text.isascii() and _ODD_SPACE.search(text.decode()):
+            return [self.FIRST + text]
+        return [self._key(c) for c in _BYTE_CHUNK.findall(text)]
+
+    def _key(self, chunk: bytes) -> bytes:
+        plain = chunk[1:2] > b" "
+        if plain and chunk[0] == 32:
+            return chunk[1:]
+        return chunk if plain and chunk[0] == 10 else self.FIRST + chunk
+
+    def _text(self, key: bytes) -> bytes:
+        if not self.byte_level or key[0] == 10:
+            return key
+        return key[1:] if key[:1] == self.FIRST else b" " + key
+
+    def _alone(self, keys: list[bytes]) -> None:
+        import numpy as np
 
-    def chunks(self, text: str) -> list[str]:
-        if self.byte_level and not text.isascii() and _ODD_SPACE.search(text):
-            return [text]
-        return self.pattern.findall(text)
+        texts = [self._text(k).decode() for k in keys]
+        for k, e in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self.known[k] = np.array(e.ids, dtype="<u4").tobytes()
 
-    def encode(self, lists: list[list[str]]) -> list[bytes]:
-        """Per list of chunks: all its ids as little-endian unsigned 32-bit integers."""
+    def _joined(self, groups: list[list[bytes]]) -> None:
         import numpy as np
 
+        if self.byte_level:
+            texts = [b"".join(map(self._text, g)) for g in groups]
+        else:
+            texts = [b" ".join(g) for g in groups]
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        for keys, e in zip(groups, found, strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            at = np.cumsum(self.width[ids])
+            if self.byte_level:
+                ends = np.cumsum([len(k) + (k[0] != 10) for k in keys])
+            else:
+                ends = np.cumsum([len(k) if k.isascii() else len(k.decode().lower().encode()) for k in keys])
+            cut = np.searchsorted(at, ends)
+            if len(at) and at[-1] == ends[-1] and (at[np.minimum(cut, len(at) - 1)] == ends).all():
+                raw, stops = ids.tobytes(), ((cut + 1) * 4).tolist()
+                for k, a, b in zip(keys, [0, *stops], stops):
+                    self.known[k] = raw[a:b]
+            else:
+                self._alone(keys)
+
+    def _learn(self, missing: set[bytes]) -> list[bytes]:
+        """Makes the ids of all these keys known; returns those to forget after use."""
         if len(self.known) > self.keep:
             self.known.clear()
-        known = self.known
-        missing = list(set().union(*lists) - known.keys())
-        extra: dict[str, bytes] = {}
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (known if len(chunk) <= self.keep_chars else extra)[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-        if extra:
-            return [b"".join([known[c] if c in known else extra[c] for c in x]) for x in lists]
-        get = known.__getitem__
-        return [b"".join(map(get, x)) for x in lists]
-
-    def encode_texts(self, texts: list[str | None]) -> list[bytes]:
-        return self.encode([self.chunks(t or "") for t in texts])
+            self.known[self.BREAK] = b""
+        long = [k for k in missing if len(k) > self.keep_bytes or k[:1] == self.FIRST]
+        short = missing.difference(long)
+        # a letter and the mark after it never share a piece: "word." is "word" and "."
+        ended = [k for k in short if k[-1] in _MARKS and len(k) > 1 and k[-2] in _LETTERS]
+        short.difference_update(ended)
+        new = [k for k in short.union([k[:-1] for k in ended]) if k not in self.known]
+        groups = [new[a : a + 128] for a in range(0, len(new), 128)]
+        for a in range(0, len(groups), 16):
+            self._joined(groups[a : a + 16])
+        for k in ended:
+            self.known[k] = self.known[k[:-1]] + self.mark(k[-1])
+        for a in range(0, len(long), 256):
+            self._alone(long[a : a + 256])
+        return long
+
+    def mark(self, byte: int) -> bytes:
+        if byte not in self.marks:
+            import numpy as np
+
+            self.marks[byte] = np.array(self.tokenizer.encode(chr(byte), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.marks[byte]
+
+    def encode(self, lists: list[list[bytes]]) -> list[list[bytes]]:
+        """Per list of keys: the ids of each key as little-endian unsigned 32-bit integers."""
+        get = self.known.get
+        out = [list(map(get, x)) for x in lists]
+        holes = [(x, e, [i for i, v in enumerate(e) if v is None]) for x, e in zip(lists, out) if None in e]
+        spare = self._learn({x[i] for x, _, at in holes for i in at})
+        for x, e, at in holes:
+            for i in at:
+                e[i] = get(x[i])
+        for k in spare:
+            del self.known[k]
+        return out
+
+    def encode_texts(self, texts: list[bytes | None]) -> list[bytes]:
+        """Per text (UTF-8): all its ids as little-endian unsigned 32-bit integers."""
+        return list(map(b"".join, self.encode([self.keys(t or b"") for t in texts])))
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -146,6 +290,10 @@ def encoder(path: str, byte_level: bool) -> Encoder:
 
 
 def slices(batch, rows: int = 256):
-    """Cut an Arrow batch so that a few texts are held as Python objects at a time."""
+    """Cut an Arrow batch so that a few texts are held as Python objects at a time.
+
+    Lists of words are no garbage cycles: a Python worker that looks for these seldom spends a quarter less time.
+    """
+    gc.set_threshold(500_000, 50, 50)
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

@@ -19,17 +19,23 @@ Empty tables give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import encoder, load, slices, tokenizer_file
+from millrace.llm.common import Encoder, encoder, load, slices, tokenizer_file
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_SENTENCE = re.compile(r"(?<=[.!?])[ \t-\r]+|[\n\r]+")
+_KIND = bytes(1 if chr(c) in ".!?" or c == Encoder.BREAK[0] else 2 if chr(c) in "\"')]}" else 0 for c in range(256))
+
+
+def sentence_ends(words: list[bytes]) -> list[int]:
+    """Numbers of the words that end a sentence: those that end in . ! or ?, closing quotes or brackets aside, and line breaks."""
+    kind = _KIND
+    found = [i for i, w in enumerate(words) if kind[w[-1]]]
+    return [i for i in found if kind[words[i][-1]] == 1 or words[i].rstrip(b"\"')]}")[-1:] in (b".", b"!", b"?")]
 
 
 def plan_windows(position: list[int], penalty: list[int], window: int = 2048, sequence_cost: int = 32) -> list[int]:
@@ -88,22 +94,24 @@ class _Block:
     def tokens(self) -> int:
         return self.starts[-1]
 
-    def add(self, doc_id, sentences: list[bytes], end: bytes) -> None:
-        here = self.starts[-1]
-        for k, s in enumerate(sentences):
-            length = len(s) // 4 + (len(end) // 4 if k == len(sentences) - 1 else 0)
-            if not length:
-                continue
-            if length > self.max_gap:
-                inner = range(here + self.max_gap, here + length, self.max_gap)
-                self.position += inner
-                self.penalty += [self.inner_penalty] * len(inner)
-            here += length
-            self.position.append(here)
-            self.penalty.append(self.sentence_penalty)
-        self.penalty[-1] = 0
-        self.docs.append((doc_id, b"".join(sentences) + end))
-        self.starts.append(here)
+    def add(self, doc_id, ids: bytes, ends) -> None:
+        """A document's ids with its end id, and the ascending places (in ids) where sentences end."""
+        import numpy as np
+
+        here, total = self.starts[-1], len(ids) // 4
+        cuts = np.append(ends[(ends > 0) & (ends < total - 1)], total)
+        gaps = np.diff(cuts, prepend=0)
+        penalty = np.full(len(cuts), self.sentence_penalty)
+        if (inner := (gaps - 1) // self.max_gap).any():
+            first = np.repeat(np.cumsum(inner) - inner, inner)
+            within = np.repeat(cuts - gaps, inner) + (np.arange(int(inner.sum())) - first + 1) * self.max_gap
+            order = np.argsort(cuts := np.concatenate([cuts, within]))
+            cuts, penalty = cuts[order], np.concatenate([penalty, np.full(len(within), self.inner_penalty)])[order]
+        penalty[-1] = 0
+        self.position += (cuts + here).tolist()
+        self.penalty += penalty.tolist()
+        self.docs.append((doc_id, ids))
+        self.starts.append(here + total)
 
     def pieces(self, sequence: int, sequence_cost: int) -> tuple[int, list[tuple]]:
         out = []
@@ -128,7 +136,7 @@ def pack(
     end_id: int = 1,
     window: int = 2048,
     block_tokens: int = 1 << 20,
-    max_gap: int = 64,
+    max_gap: int = 128,
     sentence_penalty: int = 8,
     inner_penalty: int = 48,
     sequence_cost: int = 32,
@@ -138,9 +146,11 @@ def pack(
     max_gap = min(max_gap, window)
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
+        line_end = b" " + Encoder.BREAK + b" "
         schema = pa.schema(
             [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
         )
@@ -156,11 +166,11 @@ def pack(
 
         for batch in batches:
             for part in slices(batch):
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                split = [_SENTENCE.split(t or "") for t in texts]
-                encoded = iter(encode.encode([encode.chunks(s) for x in split for s in x]))
-                for doc_id, x in zip(ids, split):
-                    block.add(doc_id, [next(encoded) for _ in x], end)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                words = [(t or b"").lower().replace(b"\n", line_end).split() for t in texts]
+                for doc_id, own, ids in zip(part.column(0).to_pylist(), words, encode.encode(words)):
+                    places = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[sentence_ends(own)] // 4
+                    block.add(doc_id, b"".join(ids) + end, np.unique(places))
                     if block.tokens >= block_tokens:
                         yield flush()
         if block.docs:

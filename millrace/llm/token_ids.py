@@ -189,7 +189,7 @@ def write_token_ids(docs: DataFrame, out: str, tokenizer: str | None = None, end
         for batch in batches:
             for part in slices(batch):
                 writer = writer or ShardWriter(f"{out}/shard-{shard:08d}.tids", id_bytes, attempt)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encode.encode_texts(part.column(1).to_pylist())):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encode.encode_texts(part.column(1).cast(pa.binary()).to_pylist())):
                     writer.add(doc_id, ids + end)
         if writer:
             writer.close()
