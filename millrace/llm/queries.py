@@ -6,12 +6,14 @@ from millrace.llm.ngram_join import op10_ngram_join
 from millrace.llm.packing import op1_pack
 from millrace.llm import mixing, quality_rules
 from millrace.llm.mixing import op7_mixing
+from millrace.llm.quality_gam import op3_quality_gam
 from millrace.llm.quality_rules import op9_quality_rules
 from millrace.llm.substring_dedup import op4_substring_dedup
 from millrace.llm.token_ids import op6_token_ids
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op3_quality_gam": op3_quality_gam,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_token_ids": op6_token_ids,
     "op7_mixing": op7_mixing,
