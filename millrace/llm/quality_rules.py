@@ -113,6 +113,12 @@ def verdict(counted: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataF
     return joined.select(*counted.columns, base_failed().alias("base_failed"), (~base_failed() & ~rejected).alias("kept"))
 
 
+def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, lang, text and others) that the rules keep. Texts are read twice rather than shuffled."""
+    cuts = materialize(thresholds(with_counts(docs.select("doc_id", "lang", "text")).drop("text"), labels), "quality-cuts")
+    return verdict(with_counts(docs), cuts).where("kept").select(*docs.columns)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = materialize(with_counts(load(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("text"), "quality-counts")
     cuts = thresholds(counted, load(spark, sf_dir, "labels"))

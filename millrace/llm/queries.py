@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from millrace.llm.ngram_join import op10_ngram_join
 from millrace.llm.packing import op1_pack
-from millrace.llm import mixing, quality_rules
+from millrace.llm import license_scan, mixing, quality_rules
+from millrace.llm.ann import op2_ann
+from millrace.llm.license_scan import op8_license_scan
 from millrace.llm.mixing import op7_mixing
 from millrace.llm.quality_gam import op3_quality_gam
 from millrace.llm.quality_rules import op9_quality_rules
 from millrace.llm.substring_dedup import op4_substring_dedup
+from millrace.llm.token_histogram import op5_token_histogram
 from millrace.llm.token_ids import op6_token_ids
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_ann": op2_ann,
     "op3_quality_gam": op3_quality_gam,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_token_histogram": op5_token_histogram,
     "op6_token_ids": op6_token_ids,
     "op7_mixing": op7_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.ORACLE, "op8_license_scan": license_scan.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
