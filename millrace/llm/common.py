@@ -161,7 +161,7 @@ class Encoder:
     FIRST = b"\xff"
     BREAK = b"\xfe"  # a key without ids, for places between words
 
-    def __init__(self, path: str, byte_level: bool, keep: int = 1_000_000, keep_bytes: int = 64):
+    def __init__(self, path: str, byte_level: bool, keep: int = 1_600_000, keep_bytes: int = 64):
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

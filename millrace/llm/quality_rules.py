@@ -91,10 +91,11 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
 def thresholds(counted: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = 0.02, level: float = 0.05) -> DataFrame:
     """A row for each stratum: its cutoff for every rule, null where none is proven. counted: documents with counts."""
     clean = labels.where("quality = 1").select("doc_id").distinct()
-    held = counted.where(~base_failed()).select("doc_id", F.col(stratum).alias("stratum"), *[v.alias(k) for k, v in shares().items()])
-    hits = [F.count_if(F.col(rule) >= c).alias(f"{rule}_{i}") for rule, grid in GRID.items() for i, c in enumerate(grid)]
+    # conditions inside the counts: a filter would be pushed below the projections that compute them, and compute them anew
+    held = counted.select("doc_id", F.col(stratum).alias("stratum"), (~base_failed()).alias("sound"), *[v.alias(k) for k, v in shares().items()])
+    hits = [F.count_if(F.col("sound") & (F.col(rule) >= c)).alias(f"{rule}_{i}") for rule, grid in GRID.items() for i, c in enumerate(grid)]
     # partial aggregation before the shuffle: at most a row for each stratum and task
-    counts = held.join(clean, "doc_id", "left_semi").groupBy("stratum").agg(F.count("*").alias("n"), *hits)
+    counts = held.join(clean, "doc_id", "left_semi").groupBy("stratum").agg(F.count_if("sound").alias("n"), *hits).where("n > 0")
     tests = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{rule}_{i}").alias("k")) for rule, grid in GRID.items() for i, c in enumerate(grid)])
     strata = counts.agg(F.count("*").alias("strata"))  # one row
     tested = counts.join(F.broadcast(strata), F.lit(True))
@@ -110,7 +111,8 @@ def verdict(counted: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataF
     for rule, share in shares().items():
         rejected = rejected | F.coalesce(share >= F.col(f"{rule}_cut"), F.lit(False))
     joined = counted.join(cuts.withColumnRenamed("stratum", "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-    return joined.select(*counted.columns, base_failed().alias("base_failed"), (~base_failed() & ~rejected).alias("kept"))
+    # one expression over both sides of the join: as a filter it stays above the counts
+    return joined.select(*counted.columns, base_failed().alias("base_failed"), F.when(rejected, F.lit(False)).otherwise(~base_failed()).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
