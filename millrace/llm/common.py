@@ -19,7 +19,7 @@ GAP = r"[\x20\x09-\x0D]+"
 _BYTE_CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _MARKS = frozenset(b".,;:!?")
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_PLAIN_GAPS = re.compile(rb"[ \n][ \n]|[\t\x0b\x0c\r]")
+_WIDE_GAPS = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c")
 #: White space that is not ASCII: with it in a text, byte-level pieces do not end where ASCII white space starts.
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -39,6 +39,9 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: How the UTF-8 of such characters begins.
+_ODD_BYTES = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+
 # ---------------------------------------------------------------- shared storage
 
 _made: list[tuple[SparkSession, str]] = []
@@ -182,14 +185,12 @@ class Encoder:
             return text.lower().split()  # of A-Z, as the vocabulary's own lower-casing does
         if not text:
             return []
-        if not (_PLAIN_GAPS.search(text) or text[0] in b" \n" or text[-1] in b" \n"):
-            if text.isascii() or not _ODD_SPACE.search(text.decode()):
-                keys = text.replace(b"\n", b" \n").split(b" ")
-                keys[0] = self.FIRST + keys[0]
-                return keys
-            return [self.FIRST + text]
-        if not text.isascii() and _ODD_SPACE.search(text.decode()):
+        if not text.isascii() and any(x in text for x in _ODD_BYTES) and _ODD_SPACE.search(text.decode()):
             return [self.FIRST + text]
+        if text[0] not in b" \n" and text[-1] not in b" \n" and not any(x in text for x in _WIDE_GAPS):
+            keys = text.replace(b"\n", b" \n").split(b" ")
+            keys[0] = self.FIRST + keys[0]
+            return keys
         return [self._key(c) for c in _BYTE_CHUNK.findall(text)]
 
     def _key(self, chunk: bytes) -> bytes:
