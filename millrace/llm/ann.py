@@ -118,13 +118,13 @@ def search(
     vectors: DataFrame,
     queries: DataFrame,
     k: int = 5,
-    list_rows: int = 128,
+    list_rows: int = 256,
     max_lists: int = 8192,
     sample_rows: int = 32_768,
     replica_ratio: float = 1.1,
     max_replicas: int = 4,
-    probe_ratio: float = 1.35,
-    beam: int = 192,
+    probe_ratio: float = 1.4,
+    beam: int = 128,
     part_rows: int = 4096,
 ) -> DataFrame:
     """The k nearest of vectors (vec_id, embedding) found for each of queries: query_id, rank, vec_id, score."""
@@ -176,9 +176,10 @@ def search(
     spread = probes.join(F.broadcast(parts), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def nearest(members, asking):
+        """A row for each query of a part: its k + 1 best there."""
         import pyarrow as pa
 
-        schema = pa.schema([("asked", pa.int64()), ("rep", pa.int64()), ("score", pa.float64())])
+        schema = pa.schema([("asked", pa.int64()), ("reps", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
         if not members.num_rows or not asking.num_rows:
             return schema.empty_table()
         m = np.array(members["embedding"].to_pylist())
@@ -193,14 +194,20 @@ def search(
             cos = (q @ m.T) / (np.linalg.norm(q, axis=1)[:, None] * norms)
             # the stable sort leaves ties in order of rep
             top = np.argsort(-cos, axis=1, kind="stable")[:, : k + 1]
-            i = np.repeat(np.arange(len(q)), top.shape[1])
-            out.append(pa.table([pa.array(part["asked"].to_numpy()[i]), pa.array(names[top.ravel()]), pa.array(cos[i, top.ravel()])], schema=schema))
+            out.append(pa.table([part["asked"], pa.array(list(names[top])), pa.array(list(np.take_along_axis(cos, top, 1)))], schema=schema))
         return pa.concat_tables(out)
 
-    hits = cut.groupBy("list", "part").cogroup(spread.groupBy("list", "part")).applyInArrow(nearest, "asked long, rep long, score double")
-    hits = hits.groupBy("asked", "rep").agg(F.max("score").alias("score"))
-    best = W.partitionBy("asked").orderBy(F.desc("score"), "rep")
-    hits = hits.withColumn("n", F.row_number().over(best)).where(F.col("n") <= 2 * (k + 1)).drop("n")
+    def merged(found):
+        """The k + 1 best distinct vectors of all parts that one query read; a row for each of these at most."""
+        import pyarrow as pa
+
+        names, scores = (np.concatenate(found[c].to_pylist()) for c in ("reps", "scores"))
+        names, at = np.unique(names, return_index=True)
+        order = np.argsort(-scores[at], kind="stable")[: k + 1]
+        return pa.table({"asked": pa.array(np.full(len(order), found["asked"][0].as_py()), pa.int64()), "rep": names[order], "score": scores[at][order]})
+
+    hits = cut.groupBy("list", "part").cogroup(spread.groupBy("list", "part")).applyInArrow(nearest, "asked long, reps array<long>, scores array<double>")
+    hits = hits.groupBy("asked").applyInArrow(merged, "asked long, rep long, score double")
     named = hits.join(reps.select("rep", "ids"), "rep").select("asked", "score", F.explode("ids").alias("vec_id"))
     by = W.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     tops = named.withColumn("n", F.row_number().over(by)).where(F.col("n") <= k + 1)
