@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import load, materialize
+from millrace.llm.common import as_row, load, materialize
 from millrace.llm.mixing import mix_documents
 from millrace.llm.ngram_join import join_components
 from millrace.llm.packing import pack
@@ -36,8 +36,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = join_components(docs, n=5, percent=80)
     # a document goes if its component has a smaller doc_id; of rows that share a doc_id all stay or go
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.select(as_row(docs)).join(gone, F.col("row.doc_id") == gone["doc_id"], "left_anti").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,36 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each context, so that their Python workers can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    context._millrace_shipped = True
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("millrace", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 #: How the UTF-8 of such characters begins.
 _ODD_BYTES = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns of a table as one struct named row, so that helper columns can't clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 # ---------------------------------------------------------------- shared storage
 
 _made: list[tuple[SparkSession, str]] = []
@@ -86,6 +110,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that materialize() made and nothing needs any more."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        remove(table.sparkSession, path)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of what has been written."""
     spark.sparkContext._jvm.System.gc()

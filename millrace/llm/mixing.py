@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import load, materialize, word_array, word_count
+from millrace.llm.common import as_row, load, materialize, word_array, word_count
 
 WEIGHTS = (5, 2, 1)
 GOLDEN = 0.6180339887498949
@@ -126,19 +126,20 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     # one key for the window and the join, so that texts are shuffled once; rows alike in doc_id, source and size share their takes in any order
     plan = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     plan = plan.withColumn("_m", F.row_number().over(W.partitionBy("_id", "_source", "_size").orderBy("_taken"))).withColumn("_key", F.xxhash64("_id", "_source", "_size"))
-    left = docs.withColumn("_words", word_count(F.col("text"))).where("_words > 0")
-    left = left.withColumn("_lkey", F.xxhash64("doc_id", "source", "_words")).repartition("_lkey")
-    left = left.withColumn("_k", F.row_number().over(W.partitionBy("_lkey", "doc_id", "source", "_words").orderBy("_lkey")))
-    same = (F.col("_lkey") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")) & (F.col("_k") == F.col("_m"))
+    left = docs.select(as_row(docs), word_count(F.col("text")).alias("_words")).where("_words > 0")
+    own = [F.col("row.doc_id"), F.col("row.source"), F.col("_words")]
+    left = left.withColumn("_lkey", F.xxhash64(*own)).repartition("_lkey")
+    left = left.withColumn("_k", F.row_number().over(W.partitionBy("_lkey", *own).orderBy("_lkey")))
+    same = (F.col("_lkey") == F.col("_key")) & own[0].eqNullSafe(F.col("_id")) & own[1].eqNullSafe(F.col("_source")) & (own[2] == F.col("_size")) & (F.col("_k") == F.col("_m"))
     rest = F.pmod("_taken", "_size")
     passes = F.array_repeat(F.lit(0).cast("long"), ((F.col("_taken") - rest) / F.col("_size")).cast("int"))
     takes = F.concat(passes, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
     joined = left.join(plan, same).withColumn("_take", F.explode(takes))
-    text = F.when(F.col("_take") == 0, F.col("text")).otherwise(F.array_join(F.slice(word_array(F.col("text")), F.lit(1), F.col("_take").cast("int")), " "))
-    out = joined.withColumn("text", text)
+    whole, cut = F.col("_take") == 0, F.array_join(F.slice(word_array(F.col("row.text")), F.lit(1), F.col("_take").cast("int")), " ")
+    new = {"text": F.when(whole, F.col("row.text")).otherwise(cut)}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_take") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(whole, F.col("row.n_chars")).otherwise(F.length(cut)).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

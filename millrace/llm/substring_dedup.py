@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
+from millrace.llm.common import as_row, free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
 
 
 class _Powers:
@@ -257,12 +257,13 @@ def find_repeats(docs: DataFrame, window: int = 50, seed: int = 25, shard_words:
 def strip_repeats(docs: DataFrame, **options) -> DataFrame:
     """docs with repeated passages removed from text; texts without any stay as they are. n_chars, if there, follows."""
     _, changed = find_repeats(docs, **options)
-    keyed = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string")))
-    edits = changed.select(F.col("doc_id").alias("_id"), F.col("th").alias("_t"), F.col("kept").alias("_kept"))
-    out = keyed.join(edits, (F.col("doc_id") == F.col("_id")) & (F.col("_th") == F.col("_t")), "left").withColumn("text", F.coalesce("_kept", "text"))
+    keyed = docs.select(as_row(docs)).withColumn("th", F.xxhash64(F.col("row.text").cast("string")))
+    edits = changed.select("doc_id", "th", "kept")
+    out = keyed.join(edits, (F.col("row.doc_id") == edits["doc_id"]) & (keyed["th"] == edits["th"]), "left")
+    new = {"text": F.coalesce("kept", "row.text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
