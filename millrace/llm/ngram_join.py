@@ -4,20 +4,22 @@ Sets. A text's ASCII letters are lower-cased; its set holds the 64-bit hashes of
 fewer words, of its whole sequence). Equal sets are one class, represented by its smallest doc_id.
 
 Signatures. Sizes fall into bands wide enough that partners lie in one band or the next. Two sets of band b, or of bands
-b and b + 1, that reach the threshold differ in at most H elements. The hash universe is cut into m = H + 1 ranges; a
-set's part in a range is its segment. With at most H differences some segment is equal in both (pigeonhole), so each
-set indexes its m segments for its own band and probes with the segments of the band below where a partner may lie.
+b and b + 1, that reach the threshold differ in at most H elements. The hash universe is cut into m = H + 1 + E ranges; a
+set's part in a range is its segment. With at most H differences E + 1 segments are equal in both (pigeonhole), so each
+set indexes its segments for its own band and probes with the segments of the band below where a partner may lie.
 
 Allocation. A segment is given a distance of -1 (skipped), 0 (equal) or 1 (one deletion); any allocation with the sum of
-(distance + 1) at least H + 1 stays complete. It starts at 0 for all. From the group sizes found, a (band, segment) whose
-pairs cost more than the one-deletion neighbourhood of the band's cheapest other segment is skipped in its favour; for
-those segments a second pass indexes the segment and all its one-deletion neighbours.
+(distance + 1) at least H + 1 stays complete. A set may skip up to E segments: its empty ones, then those whose signature
+is in many sets; it skips all of a kind or none, so of E + 1 equal segments some is kept on both sides. From the group
+sizes found, a (band, segment) whose pairs still cost more than the one-deletion neighbourhood of the band's cheapest
+other segment is skipped for all in its favour; for those segments a second pass indexes the segment and all its
+one-deletion neighbours.
 
 Candidates. In a group of equal signatures every member is compared with the smallest one. Members that remain in
 different components are then compared in blocks of at most ``block`` members a side: pairs must have enough equal
-segments out of 2 m (each unequal one holds a difference), and in the block of the first segment they share, so that no pair is listed twice for
-the segments it shares. Survivors, and only these, are verified on their whole sets. What a component already joins needs no more comparing, so
-groups of thousands of near copies cost links in proportion to their members. No candidate or partner is dropped.
+segments out of 2 m (each unequal one holds a difference), and are listed for the first segment they share. Survivors,
+and only these, are verified on their whole sets. What a component already joins needs no more comparing, so groups of
+thousands of near copies cost links in proportion to their members. No candidate or partner is dropped.
 
 Null, empty and blank texts have empty sets and link with nothing. Rows with a null doc_id get a null component and
 link with nothing. Rows that share a doc_id are one node, with a set each. An empty table gives no rows.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
+from millrace.llm.common import discard, free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
 from millrace.llm.components import components
 
 def shingle_set(text: bytes, n: int):
@@ -55,28 +57,46 @@ class Bands:
     def __init__(self, percent: int):
         self.percent = percent
         self.edges = [1]
+        # wide bands mean fewer probes, but smaller segments: two steps if segments of five elements remain
+        largest = self.reach(self.reach(1000))
+        self.steps = 2 if self.differences(largest + self.reach(largest)) * 5 <= 1000 else 1
 
     def reach(self, size: int) -> int:
         """The largest partner of a set of this size."""
         return size * 100 // self.percent
 
     def band(self, size: int) -> int:
-        while self.edges[-1] <= size:
-            self.edges.append(self.reach(self.reach(self.edges[-1])) + 1)
         from bisect import bisect_right
 
+        while self.edges[-1] <= size:
+            top = self.edges[-1]
+            for _ in range(self.steps):
+                top = self.reach(top)
+            self.edges.append(top + 1)
         return bisect_right(self.edges, size) - 1
 
     def differences(self, total: int) -> int:
         """The most elements in which linked sets of this many elements in all can differ."""
         return total * (100 - self.percent) // (100 + self.percent)
 
-    def segments(self, band: int) -> int:
+    def needed(self, band: int) -> int:
+        """Segments that the pigeonhole argument needs: one more than the differences."""
         while len(self.edges) <= band + 1:
             self.band(self.edges[-1])
         largest = self.edges[band + 1] - 1
         return self.differences(largest + self.reach(largest)) + 1
 
+    def spare(self, band: int) -> int:
+        """E: about the empty segments that the band's smallest sets have."""
+        from math import ceil, exp
+
+        need, smallest = self.needed(band), self.edges[band]
+        empty = need * exp(-smallest / need)
+        return ceil(empty + 2 * empty**0.5) + 1 if smallest >= 16 else 0
+
+    def segments(self, band: int) -> int:
+        return self.needed(band) + self.spare(band)
+
     def probes_below(self, size: int) -> bool:
         b = self.band(size)
         return b > 0 and self.reach(self.edges[b] - 1) >= size
@@ -118,8 +138,24 @@ def linked(a, b, percent: int) -> bool:
 # ---------------------------------------------------------------- passes over texts
 
 
+def _posted(s, band: int, bands: Bands):
+    """(signatures of a set's segments, which of them it emits, segments that it may still skip, a byte for each half segment).
+
+    Bytes of empty halves are 0, of others 1 to 255: unequal bytes are unequal halves, and each of these holds a difference.
+    """
+    import numpy as np
+
+    m, spare = bands.segments(band), bands.spare(band)
+    halves, bounds = segment_sums(s, 2 * m)
+    filled = np.diff(bounds) > 0
+    kept = filled[0::2] | filled[1::2]
+    left = spare - int(len(kept) - kept.sum())
+    fine = np.where(filled, 1 + (mixed(halves) >> np.uint64(40)) % np.uint64(255), 0).astype(np.uint8)
+    return signatures(halves[0::2] + halves[1::2], band, np.arange(m)).view(np.int64), kept if left >= 0 else np.ones(m, bool), left, fine.tobytes()
+
+
 def _digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest, band, own and probe signatures of every row."""
+    """doc_id, n_shingles, digest and band of every row, and for its own band and the one below signatures (null: skipped) spare and fine."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -127,27 +163,28 @@ def _digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
         import xxhash
 
         bands = Bands(percent)
+        nothing = (np.zeros(0, np.int64), np.zeros(0, bool), 0, b"")
         for batch in batches:
             for part in slices(batch, 512):
                 rows = []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                     s = shingle_set(text or b"", n)
-                    own = probe = np.zeros(0, np.uint64)
-                    b = -1
+                    b, own, probe = -1, nothing, nothing
                     if len(s) and doc_id is not None:
                         b = bands.band(len(s))
-                        m = bands.segments(b)
-                        own = signatures(segment_sums(s, m)[0], b, np.arange(m))
+                        own = _posted(s, b, bands)
                         if bands.probes_below(len(s)):
-                            m = bands.segments(b - 1)
-                            probe = signatures(segment_sums(s, m)[0], b - 1, np.arange(m))
-                    rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), b, own.view(np.int64), probe.view(np.int64)))
-                ids, sizes, digests, bs, own, probe = zip(*rows)
-                long = pa.int64()
-                lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x))) for x in (own, probe)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, long), pa.array(sizes, long), pa.array(digests, pa.binary()), pa.array(bs, pa.int32()), *lists], names=["doc_id", "n_shingles", "digest", "band", "own", "probe"])
+                            probe = _posted(s, b - 1, bands)
+                    rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), b, own, probe))
+                ids, sizes, digests, bs, *posts = zip(*rows)
+                long, columns = pa.int64(), []
+                for x in posts:
+                    values, kept, left, fine = zip(*x)
+                    flat = pa.array(np.concatenate(values), long, mask=~np.concatenate(kept))
+                    columns += [pa.ListArray.from_arrays(np.cumsum([0, *map(len, values)]).astype(np.int32), flat), pa.array(left, pa.int32()), pa.array(fine, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, long), pa.array(sizes, long), pa.array(digests, pa.binary()), pa.array(bs, pa.int32()), *columns], names=["doc_id", "n_shingles", "digest", "band", "own", "own_spare", "fine", "probe", "probe_spare", "below"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, band int, own array<long>, probe array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, band int, own array<long>, own_spare int, fine binary, probe array<long>, probe_spare int, below binary")
 
 
 def _deletion_rows(docs: DataFrame, n: int, percent: int, swapped: list[tuple[int, int]]) -> DataFrame:
@@ -174,37 +211,51 @@ def _deletion_rows(docs: DataFrame, n: int, percent: int, swapped: list[tuple[in
                         for segment in raised.get(band, []):
                             sigs = deletions(s, band, segment, bands.segments(band)).view(np.int64).tolist()
                             digest = xxhash.xxh3_128_digest(s.tobytes())
-                            rows += [{"sig": x, "doc": doc_id, "own": own, "digest": digest, "band": band, "segment": -1} for x in sigs]
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("own", pa.bool_()), ("digest", pa.binary()), ("band", pa.int32()), ("segment", pa.int32())]))
+                            rows += [{"sig": x, "doc": doc_id, "band": band, "segment": -1, "own": own, "digest": digest} for x in sigs]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("band", pa.int32()), ("segment", pa.int32()), ("own", pa.bool_()), ("digest", pa.binary())]))
 
-    return docs.mapInArrow(run, "sig long, doc long, own boolean, digest binary, band int, segment int")
+    return docs.mapInArrow(run, "sig long, doc long, band int, segment int, own boolean, digest binary")
 
 
-def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc, set (binary) and, in 32 bits, sums of twice the segments of the own band and of the band below. docs: doc_id, text, digest."""
+def _sets(docs: DataFrame, n: int) -> DataFrame:
+    """doc, elements (the set, binary). docs: doc_id, text, digest; of rows that share a doc_id, the one with the digest."""
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
         import xxhash
 
-        bands = Bands(percent)
-        schema = pa.schema([("doc", pa.int64()), ("elements", pa.binary()), ("fine", pa.binary()), ("below", pa.binary())])
+        schema = pa.schema([("doc", pa.int64()), ("elements", pa.binary())])
         for batch in batches:
             for part in slices(batch, 512):
                 rows = []
                 for doc_id, text, digest in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2).to_pylist()):
                     s = shingle_set(text or b"", n)
-                    if xxhash.xxh3_128_digest(s.tobytes()) != digest:
-                        continue
-                    b = bands.band(len(s))
-                    fine, below = segment_sums(s, 2 * bands.segments(b))[0].astype("<u4"), b""
-                    if bands.probes_below(len(s)):
-                        below = segment_sums(s, 2 * bands.segments(b - 1))[0].astype("<u4").tobytes()
-                    rows.append({"doc": doc_id, "elements": s.astype("<u8").tobytes(), "fine": fine.tobytes(), "below": below})
+                    if xxhash.xxh3_128_digest(s.tobytes()) == digest:
+                        rows.append({"doc": doc_id, "elements": s.astype("<u8").tobytes()})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return docs.mapInArrow(run, "doc long, elements binary, fine binary, below binary")
+    return docs.mapInArrow(run, "doc long, elements binary")
+
+
+def _near_enough(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose halves of segments differ in no more places than linked sets may."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for (na, ba, fa, la), (nb, bb, fb, lb) in zip(zip(*[batch.column(c).to_pylist() for c in ("na", "ba", "fa", "la")]), zip(*[batch.column(c).to_pylist() for c in ("nb", "bb", "fb", "lb")])):
+                if ba != bb:
+                    fa, fb = (la, fb) if ba > bb else (fa, lb)
+                unequal = np.count_nonzero(np.frombuffer(fa, np.uint8) != np.frombuffer(fb, np.uint8)) if len(fa) == len(fb) else 1 << 40
+                keep.append(unequal <= (na + nb) * (100 - percent) // (100 + percent) and 100 * min(na, nb) >= percent * max(na, nb))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    side = lambda x: fine.select(F.col("doc").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("band").alias(f"b{x}"), F.col("fine").alias(f"f{x}"), F.col("below").alias(f"l{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -225,10 +276,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _links(pairs: DataFrame, texts: DataFrame, digests: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that are links, verified on the whole sets of the texts they need."""
+    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(digests, "doc_id")
+    sets = materialize(_sets(texts.join(needed, "doc_id").select("doc_id", "text", "digest"), n), "ngram-sets")
+    free_shuffles(pairs.sparkSession)
+    links = materialize(_verified(pairs, sets, percent), "ngram-links")
+    discard(sets)
+    free_shuffles(pairs.sparkSession)
+    return links
+
+
 def _block_pairs(members: DataFrame, percent: int, block: int, skipped: list[tuple[int, int]] = ()) -> DataFrame:
     """Candidate pairs between components within groups of equal signatures.
 
-    members: sig, band, segment (-1 for deletion groups), doc, own, component, n_shingles, elements' sums (sums).
+    members: sig, band, segment (-1 for deletion groups), doc, own, component, n_shingles, the bytes of its half segments in
+    this band (sums), and the segments that the set skips for being frequent (dropped).
     """
     rank = F.row_number().over(W.partitionBy("sig").orderBy("doc")) - 1
     sized = members.withColumn("blk", F.floor(rank / F.lit(block)).cast("int")).withColumn("blks", F.floor((F.count("*").over(W.partitionBy("sig")) - 1) / F.lit(block)).cast("int") + 1)
@@ -244,13 +307,17 @@ def _block_pairs(members: DataFrame, percent: int, block: int, skipped: list[tup
         bands = Bands(percent)
         x, y = key[1], key[2]
         band, segment = int(frame.band.iat[0]), int(frame.segment.iat[0])
-        sums = np.stack([np.frombuffer(s, "<u4") for s in frame.sums])
+        sums = np.stack([np.frombuffer(s, np.uint8) for s in frame.sums])
         doc, own, comp, size = frame.doc.to_numpy(), frame.own.to_numpy(), frame.component.to_numpy(), frame.n_shingles.to_numpy()
         side, rows = frame.blk.to_numpy(), []
-        if segment >= 0:
-            # equal in both halves of a segment: these may share its signature
-            halves = sums.reshape(len(sums), -1, 2)
-            earlier = [k for k in range(segment) if (band, k) not in absent]
+        if segment > 0:
+            # a pair is listed for the first segment that both index; empty segments are skipped where that is affordable
+            halves = sums.reshape(len(sums), -1, 2)[:, :segment]
+            empty = (sums.reshape(len(sums), -1, 2) == 0).all(axis=2)
+            live = ~(empty & (empty.sum(axis=1) <= bands.spare(band))[:, None])[:, :segment]
+            for r, gone in enumerate(frame.dropped):
+                live[r, [g for g in gone if g < segment]] = False
+            live[:, [k for k in range(segment) if (band, k) in absent]] = False
         others = np.flatnonzero(side == y)
         for i in np.flatnonzero(side == x):
             js = others[others > i] if x == y else others
@@ -262,7 +329,7 @@ def _block_pairs(members: DataFrame, percent: int, block: int, skipped: list[tup
             unequal = sums[js] != sums[i]
             ok = unequal.sum(axis=1) <= (size[js] + size[i]) * (100 - percent) // (100 + percent)
             if segment > 0:
-                ok &= ~(halves[js][:, earlier] == halves[i][earlier]).all(axis=2).any(axis=1)
+                ok &= ~((halves[js] == halves[i]).all(axis=2) & live[js] & live[i]).any(axis=1)
             rows += [(min(doc[i], doc[j]), max(doc[i], doc[j])) for j in js[ok]]
         return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
@@ -301,45 +368,61 @@ def allocate(groups: DataFrame, percent: int, pair_cost: float = 1 / 40, least_p
 # ---------------------------------------------------------------- join
 
 
-def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 512, pair_cost: float = 1 / 40, least_pairs: int = 1 << 16) -> DataFrame:
+def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 512, frequent: int = 64, pair_cost: float = 1 / 40, least_pairs: int = 1 << 16) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = materialize(_digests(texts, n, percent), "ngram-signatures")
-    known = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-    index = reps.select("doc_id", "band", "n_shingles", F.lit(True).alias("own"), F.posexplode("own").alias("segment", "sig"))
-    below = reps.select("doc_id", (F.col("band") - 1).alias("band"), "n_shingles", F.lit(False).alias("own"), F.posexplode("probe").alias("segment", "sig"))
-    posted = index.unionByName(below).withColumnRenamed("doc_id", "doc")
+    found = materialize(_digests(texts, n, percent), "ngram-signatures")
+    # place: band, segment and whether it is indexed (1) or probes (0), in one number
+    place = lambda band, bit: F.shiftleft(band.cast("long"), 40) + F.shiftleft(F.col("segment").cast("long"), 1) + bit
+    index = found.select("doc_id", "band", F.posexplode("own").alias("segment", "sig")).select("sig", F.col("doc_id").alias("doc"), place(F.col("band"), 1).alias("place"))
+    below = found.select("doc_id", "band", F.posexplode("probe").alias("segment", "sig")).select("sig", F.col("doc_id").alias("doc"), place(F.col("band") - 1, 0).alias("place"))
+    posted = index.unionByName(below).where("sig is not null")
     group = W.partitionBy("sig")
     # groups without an indexed member hold no candidates
-    shared = posted.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max("own").over(group))
-    shared = materialize(shared.where("high > low and indexed").drop("indexed", "high"), "ngram-groups")
+    shared = posted.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max(F.col("place").bitwiseAND(F.lit(1))).over(group))
+    shared = materialize(shared.where("high > low and indexed = 1").select("sig", "doc", "place"), "ngram-shared")
+    rows = materialize(found.select("doc_id", "n_shingles", "digest", "band", "own_spare", "probe_spare"), "ngram-rows")
     free_shuffles(spark)
+    known = rows.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "own_spare", "probe_spare").distinct()
+    shared = shared.join(reps.drop("digest"), "doc").withColumn("own", F.col("place").bitwiseAND(F.lit(1)) == 1).withColumn("segment", F.shiftright("place", 1).bitwiseAND(F.lit((1 << 38) - 1)).cast("int"))
+    shared = shared.where(F.col("band") == F.shiftright("place", 40).cast("int") + (~F.col("own")).cast("int"))  # of rows that share a doc_id, the right one
+    shared = shared.withColumn("spare", F.when(F.col("own"), F.col("own_spare")).otherwise(F.col("probe_spare"))).withColumn("band", F.shiftright("place", 40).cast("int"))
+    # frequent signatures are skipped by the sets that can afford to skip all of theirs
+    counted = shared.withColumn("n", F.count("*").over(group)).where("n > 1").withColumn("frequent", F.col("n") > frequent)
+    of = W.partitionBy("doc", "band", "own", "n_shingles")
+    counted = counted.withColumn("afford", F.count_if("frequent").over(of) <= F.col("spare"))
+    dropped = F.collect_list(F.when(F.col("frequent") & F.col("afford"), F.col("segment"))).over(of)
+    counted = counted.withColumn("dropped", dropped).where("not (frequent and afford)").select("sig", "doc", "band", "segment", "own", "n_shingles", "dropped")
+    limits = lambda df: df.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max("own").over(group)).where("high > low and indexed").drop("high", "indexed")
+    shared = materialize(limits(counted), "ngram-groups")
     sizes = shared.groupBy("sig", "band", "segment").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
     volume = rows.groupBy("band").agg(F.count("*").alias("docs"))
     volume = volume.union(volume.withColumn("band", F.col("band") - 1)).groupBy("band").agg(F.sum("docs").alias("docs"))
     skipped, raised = allocate(sizes.join(volume, "band"), percent, pair_cost, least_pairs)
     if skipped:
         drop = spark.createDataFrame(skipped, "band int, segment int")
-        near = _deletion_rows(texts, n, percent, raised).join(classes.withColumnRenamed("rep", "doc"), ["digest", "doc"], "left_semi").join(known.select("digest", F.col("doc_id").alias("doc"), "n_shingles").distinct(), ["digest", "doc"])
-        near = near.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).where("high > low").drop("high", "digest")
-        shared = materialize(shared.join(F.broadcast(drop), ["band", "segment"], "left_anti").unionByName(near), "ngram-groups")
-    needed = shared.select(F.col("doc").alias("doc_id")).distinct()
-    digests = reps.select("doc_id", "digest").distinct()
-    wanted = texts.join(needed.join(digests, "doc_id"), "doc_id").select("doc_id", "text", "digest")
-    sets = materialize(_sets(wanted, n, percent), "ngram-sets")
+        near = _deletion_rows(texts, n, percent, raised).join(reps.select("doc", "digest", "n_shingles"), ["doc", "digest"]).drop("digest").distinct().withColumn("dropped", F.array().cast("array<int>"))
+        shared = materialize(shared.join(F.broadcast(drop), ["band", "segment"], "left_anti").unionByName(limits(near)), "ngram-groups")
+    key = ["doc", "n_shingles", "digest"]
+    needed = reps.join(shared.select("doc", "n_shingles").distinct(), ["doc", "n_shingles"]).select(*key)
+    fine = materialize(found.select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "fine", "below").join(needed, key).dropDuplicates(key), "ngram-halves")
+    discard(found)
     free_shuffles(spark)
+    digests = reps.select(F.col("doc").alias("doc_id"), "digest")
     stars = shared.where("doc <> low").select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
-    links = materialize(_verified(stars, sets, percent), "ngram-links")
+    links = _links(materialize(_near_enough(stars, fine, percent), "ngram-pairs"), texts, digests, n, percent)
     joined = components(links)
     labelled = shared.join(joined.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     rest = labelled.withColumn("one", F.min("component").over(group)).withColumn("other", F.max("component").over(group)).withColumn("n", F.count("*").over(group))
     rest = rest.where("one <> other and n > 2").drop("one", "other", "n", "low")
-    rest = rest.join(sets.select("doc", "fine", "below"), "doc").withColumn("sums", F.when(F.col("own"), F.col("fine")).otherwise(F.col("below"))).drop("fine", "below")
-    more = _block_pairs(rest, percent, block, skipped).distinct()
-    links = links.unionByName(materialize(_verified(more, sets, percent), "ngram-links"))
+    halves = fine.select("doc", "n_shingles", "fine", "below")
+    rest = rest.join(halves, ["doc", "n_shingles"]).withColumn("sums", F.when(F.col("own"), F.col("fine")).otherwise(F.col("below"))).drop("fine", "below")
+    more = materialize(_block_pairs(rest, percent, block, skipped).distinct(), "ngram-pairs")
+    if more.take(1):
+        links = links.unionByName(_links(more, texts, digests, n, percent))
     # equal sets are linked without comparing
     same = known.join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     joined = components(links.unionByName(same))

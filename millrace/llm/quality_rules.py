@@ -22,12 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import load, materialize, word_array
+from millrace.llm.common import as_row, load, materialize, word_array
 
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+MAX_BROADCAST = 10_000  # strata
 #: Cutoffs to test for each rule, loosest first. A document is rejected if its share is the cutoff or more.
 GRID = {
     "symbol_share": (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02, 0.015, 0.01),
@@ -110,15 +111,17 @@ def verdict(counted: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataF
     rejected = F.lit(False)
     for rule, share in shares().items():
         rejected = rejected | F.coalesce(share >= F.col(f"{rule}_cut"), F.lit(False))
-    joined = counted.join(cuts.withColumnRenamed("stratum", "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    cuts = materialize(cuts.withColumnRenamed("stratum", "_stratum"), "quality-cuts")
+    small = cuts.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST  # a row for each stratum with a proven cutoff
+    joined = counted.join(F.broadcast(cuts) if small else cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     # one expression over both sides of the join: as a filter it stays above the counts
     return joined.select(*counted.columns, base_failed().alias("base_failed"), F.when(rejected, F.lit(False)).otherwise(~base_failed()).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs (doc_id, lang, text and others) that the rules keep. Texts are read twice rather than shuffled."""
-    cuts = materialize(thresholds(with_counts(docs.select("doc_id", "lang", "text")).drop("text"), labels), "quality-cuts")
-    return verdict(with_counts(docs), cuts).where("kept").select(*docs.columns)
+    """The rows of docs (doc_id, lang, text and others) that the rules keep. Counts are written with the texts, not joined to them."""
+    counted = materialize(with_counts(docs.select(as_row(docs), "doc_id", "lang"), "row.text"), "quality-documents")
+    return verdict(counted, thresholds(counted, labels)).where("kept").select("row.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
