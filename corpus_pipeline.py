@@ -12,6 +12,8 @@ Parquet and reread as the next one's docs. All stages but the last return the co
    out where the mix has no room. Empty texts have no words to take.
 5. packed cuts the mix into sequences with operator 1, and returns their pieces with their token ids.
 
+A stage's result must have been written before the next stage begins: it then removes the tables it was made from.
+
 Null and repeated doc_ids, null texts and empty tables are handled as the operators state: a document with a null
 doc_id, if it passes the rules, is in no component and stays. Each stage keeps other columns as they are.
 """
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_row, load, materialize
+from millrace.llm.common import as_row, load, made_tables, materialize, remove
 from millrace.llm.mixing import mix_documents
 from millrace.llm.ngram_join import join_components
 from millrace.llm.packing import pack
@@ -29,6 +31,23 @@ from millrace.llm.quality_rules import filter_documents
 from millrace.llm.substring_dedup import strip_repeats
 
 
+_left: list[str] = []  # tables of the stage before
+
+
+def _stage(function):
+    """The stage, which first removes the tables that the stage before made: by now its rows have been written."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _left:
+            remove(spark, path)
+        before = len(made_tables())
+        out = function(spark, docs, sf_dir)
+        _left[:] = made_tables()[before:]
+        return out
+
+    return run_stage
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return filter_documents(docs, load(spark, sf_dir, "labels"))
 
@@ -52,13 +71,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_copies", near_copies),
-    ("repeated_passages", repeated_passages),
-    ("source_mix", source_mix),
-    ("packed", packed),
-]
+STAGES = [(f.__name__, _stage(f)) for f in (quality_rules, near_copies, repeated_passages, source_mix, packed)]
 
 #: SQL has neither the tokenizer's ids nor the choice of cuts, so the rows are tested against brute-force versions.
 ORACLE_SQL = None

@@ -95,6 +95,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def made_tables() -> list[str]:
+    """The folders made so far in this process."""
+    return [path for _, path in _made]
+
+
 def _clean() -> None:
     for spark, path in _made:
         if spark.sparkContext._jsc is None:
@@ -166,6 +171,7 @@ def word_hashes(words: list[bytes]):
 
     if len(_words) > 1_000_000:
         _words.clear()
+    _encoders.clear()  # one kind of memory at a time in a reused worker
     return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
 
 
@@ -315,6 +321,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 def encoder(path: str, byte_level: bool) -> Encoder:
     """One encoder for each vocabulary file and Python worker."""
     if (path, byte_level) not in _encoders:
+        _words.clear()
         _encoders.clear()
         _encoders[path, byte_level] = Encoder(path, byte_level)
     return _encoders[path, byte_level]
