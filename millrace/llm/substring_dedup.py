@@ -152,7 +152,7 @@ def _passages(owned: DataFrame, window: int, seed: int) -> DataFrame:
     return owned.select("doc_id", "th", "text", "found").mapInArrow(run, "owner long, th long, start long, passage binary, seeds array<long>, places array<int>")
 
 
-def covered_spans(words: list[int], hits: Iterator[tuple[int, list]], passages: list, doc_id: int, window: int) -> list[tuple[int, int]]:
+def covered_spans(words: list[int], hits: list[tuple[int, list]], passages: list, doc_id: int, window: int) -> list[tuple[int, int]]:
     """Spans of words in agreements of at least ``window`` words with passages of smaller doc_ids; hits are (place, [(passage, place in it)])."""
     import numpy as np
 
@@ -180,6 +180,22 @@ def covered_spans(words: list[int], hits: Iterator[tuple[int, list]], passages:
     return merged
 
 
+def word_codes(n: int) -> tuple[list[str], int]:
+    """Strings of one width for the numbers below n, and that width; 0, for words of no passage, is in no pattern.
+
+    Nodes of the automaton search their edges one by one, so words are spelled with 64 symbols rather than being one
+    symbol each. First symbols are a set of their own: a match can only start where a word does.
+    """
+    width = 1
+    while 64**width < n:
+        width += 1
+    codes = []
+    for i in range(n):
+        digits = [(i >> 6 * k) & 63 for k in range(width)]
+        codes.append(chr(0x30 + digits[0]) + "".join([chr(0x80 + d) for d in digits[1:]]))
+    return codes, width
+
+
 def _scan(window: int, seed: int):
     def run(documents, passages):
         """One shard: its documents and the passages that may occur in them."""
@@ -195,17 +211,19 @@ def _scan(window: int, seed: int):
             for p in places:
                 patterns.setdefault(tuple(ids[p : p + seed]), []).append((len(known), p))
             known.append((owner, np.asarray(ids, np.int32)))
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        codes, width = word_codes(len(numbers) + 1)
+        machine = ahocorasick.Automaton()
         for pattern, owners in patterns.items():
-            machine.add_word(pattern, owners)
+            machine.add_word("".join([codes[i] for i in pattern]), owners)
         rows = []
         if patterns:
             machine.make_automaton()
             get = numbers.get
             for doc_id, th, text in zip(documents["doc_id"].to_pylist(), documents["th"].to_pylist(), documents["text"].cast(pa.binary()).to_pylist()):
                 words = text.split()
-                ids = tuple([get(w, 0) for w in words])
-                spans = covered_spans(ids, ((end - seed + 1, owners) for end, owners in machine.iter(ids)), known, doc_id, window)
+                ids = [get(w, 0) for w in words]
+                hits = [((end + 1) // width - seed, owners) for end, owners in machine.iter("".join([codes[i] for i in ids]))]
+                spans = covered_spans(ids, hits, known, doc_id, window) if hits else []
                 if spans:
                     kept, at = [], 0
                     for a, b in spans:
