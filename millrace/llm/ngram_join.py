@@ -17,8 +17,8 @@ one-deletion neighbours.
 
 Candidates. In a group of equal signatures every member is compared with the smallest one. Members that remain in
 different components are then compared in blocks of at most ``block`` members a side: pairs must have enough equal
-segments out of 2 m (each unequal one holds a difference), and are listed for the first segment they share. Survivors,
-and only these, are verified on their whole sets. What a component already joins needs no more comparing, so groups of
+segments out of 2 m (each unequal one holds a difference; equal bytes prove nothing), and are listed in every group that
+they share. Survivors, each once and only these, are verified on their whole sets. What a component already joins needs no more comparing, so groups of
 thousands of near copies cost links in proportion to their members. No candidate or partner is dropped.
 
 Null, empty and blank texts have empty sets and link with nothing. Rows with a null doc_id get a null component and
@@ -287,37 +287,24 @@ def _links(pairs: DataFrame, texts: DataFrame, digests: DataFrame, n: int, perce
     return links
 
 
-def _block_pairs(members: DataFrame, percent: int, block: int, skipped: list[tuple[int, int]] = ()) -> DataFrame:
-    """Candidate pairs between components within groups of equal signatures.
+def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
+    """Candidate pairs between components within groups of equal signatures, once for each group that a pair shares.
 
-    members: sig, band, segment (-1 for deletion groups), doc, own, component, n_shingles, the bytes of its half segments in
-    this band (sums), and the segments that the set skips for being frequent (dropped).
+    members: sig, doc, own, component, n_shingles and the bytes of its half segments in this band (sums).
     """
     rank = F.row_number().over(W.partitionBy("sig").orderBy("doc")) - 1
     sized = members.withColumn("blk", F.floor(rank / F.lit(block)).cast("int")).withColumn("blks", F.floor((F.count("*").over(W.partitionBy("sig")) - 1) / F.lit(block)).cast("int") + 1)
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blks") - 1)))
     sized = sized.withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("other", "blks")
 
-    absent = set(skipped)
-
     def run(key, frame):
         import numpy as np
         import pandas as pd
 
-        bands = Bands(percent)
         x, y = key[1], key[2]
-        band, segment = int(frame.band.iat[0]), int(frame.segment.iat[0])
         sums = np.stack([np.frombuffer(s, np.uint8) for s in frame.sums])
         doc, own, comp, size = frame.doc.to_numpy(), frame.own.to_numpy(), frame.component.to_numpy(), frame.n_shingles.to_numpy()
         side, rows = frame.blk.to_numpy(), []
-        if segment > 0:
-            # a pair is listed for the first segment that both index; empty segments are skipped where that is affordable
-            halves = sums.reshape(len(sums), -1, 2)[:, :segment]
-            empty = (sums.reshape(len(sums), -1, 2) == 0).all(axis=2)
-            live = ~(empty & (empty.sum(axis=1) <= bands.spare(band))[:, None])[:, :segment]
-            for r, gone in enumerate(frame.dropped):
-                live[r, [g for g in gone if g < segment]] = False
-            live[:, [k for k in range(segment) if (band, k) in absent]] = False
         others = np.flatnonzero(side == y)
         for i in np.flatnonzero(side == x):
             js = others[others > i] if x == y else others
@@ -328,8 +315,6 @@ def _block_pairs(members: DataFrame, percent: int, block: int, skipped: list[tup
             js = js[small * 100 >= percent * large]
             unequal = sums[js] != sums[i]
             ok = unequal.sum(axis=1) <= (size[js] + size[i]) * (100 - percent) // (100 + percent)
-            if segment > 0:
-                ok &= ~((halves[js] == halves[i]).all(axis=2) & live[js] & live[i]).any(axis=1)
             rows += [(min(doc[i], doc[j]), max(doc[i], doc[j])) for j in js[ok]]
         return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
@@ -394,8 +379,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     counted = shared.withColumn("n", F.count("*").over(group)).where("n > 1").withColumn("frequent", F.col("n") > frequent)
     of = W.partitionBy("doc", "band", "own", "n_shingles")
     counted = counted.withColumn("afford", F.count_if("frequent").over(of) <= F.col("spare"))
-    dropped = F.collect_list(F.when(F.col("frequent") & F.col("afford"), F.col("segment"))).over(of)
-    counted = counted.withColumn("dropped", dropped).where("not (frequent and afford)").select("sig", "doc", "band", "segment", "own", "n_shingles", "dropped")
+    counted = counted.where("not (frequent and afford)").select("sig", "doc", "band", "segment", "own", "n_shingles")
     limits = lambda df: df.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max("own").over(group)).where("high > low and indexed").drop("high", "indexed")
     shared = materialize(limits(counted), "ngram-groups")
     sizes = shared.groupBy("sig", "band", "segment").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
@@ -404,7 +388,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     skipped, raised = allocate(sizes.join(volume, "band"), percent, pair_cost, least_pairs)
     if skipped:
         drop = spark.createDataFrame(skipped, "band int, segment int")
-        near = _deletion_rows(texts, n, percent, raised).join(reps.select("doc", "digest", "n_shingles"), ["doc", "digest"]).drop("digest").distinct().withColumn("dropped", F.array().cast("array<int>"))
+        near = _deletion_rows(texts, n, percent, raised).join(reps.select("doc", "digest", "n_shingles"), ["doc", "digest"]).drop("digest").distinct()
         shared = materialize(shared.join(F.broadcast(drop), ["band", "segment"], "left_anti").unionByName(limits(near)), "ngram-groups")
     key = ["doc", "n_shingles", "digest"]
     needed = reps.join(shared.select("doc", "n_shingles").distinct(), ["doc", "n_shingles"]).select(*key)
@@ -420,7 +404,7 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     rest = rest.where("one <> other and n > 2").drop("one", "other", "n", "low")
     halves = fine.select("doc", "n_shingles", "fine", "below")
     rest = rest.join(halves, ["doc", "n_shingles"]).withColumn("sums", F.when(F.col("own"), F.col("fine")).otherwise(F.col("below"))).drop("fine", "below")
-    more = materialize(_block_pairs(rest, percent, block, skipped).distinct(), "ngram-pairs")
+    more = materialize(_block_pairs(rest, percent, block).distinct(), "ngram-pairs")
     if more.take(1):
         links = links.unionByName(_links(more, texts, digests, n, percent))
     # equal sets are linked without comparing

@@ -342,3 +342,24 @@ def test_pipeline_stages_on_odd_rows(spark, docs, none, tmp_path):
             frame = common.materialize(stage(spark, frame, str(tmp_path)), "t")
             assert frame.columns == docs.columns
         corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).count()
+
+
+def test_pairs_with_equal_bytes_of_unequal_segments(spark):
+    """Two near copies whose bytes agree by chance in their one unequal segment, in groups whose smallest member is no copy."""
+    bands = ngram_join.Bands(90)
+    base, band = [], bands.band(101)
+    m = bands.segments(band)
+    first = []  # words of segment 0, by byte
+    for w in (f"{a}{b}{c}{d}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij" for d in "abcdefghij"):
+        h = ngram_join.shingle_set(w.encode(), 1)
+        halves = ngram_join.segment_sums(h, 2 * m)[1]
+        if halves[1]:
+            first.append((ngram_join._posted(h, band, bands)[3][0], w))
+        elif halves[2] == 0 and len(base) < 100:
+            base.append(w)
+    seen = {}
+    one, two = next((seen[byte], w) for byte, w in first if seen.setdefault(byte, w) != w)
+    more = [w for _, w in first if w not in (one, two)][:13]
+    rows = [(1, " ".join(base + more)), (2, " ".join([*base, one])), (3, " ".join([*base, two]))]
+    got = {x.doc_id: x.component_id for x in ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90).collect()}
+    assert got == {i: c for i, (_, c) in brute.components(rows, 1, 90).items()} == {1: 1, 2: 2, 3: 2}
