@@ -5,8 +5,10 @@ A bounded sample is cut in halves again and again, each time at the median betwe
 nearly equal size; their normalised means are the centroids. Centroids are linked to near and to random ones, and this
 small graph, broadcast at a bounded size, is searched in memory by a beam for all vectors of a batch at once. A vector
 goes to its nearest list and, if it lies near a boundary, also to lists within ``replica_ratio`` of that distance. A
-query reads the lists within ``probe_ratio`` of the distance to its nearest centroid, and enough of them to hold k + 1
-distinct vectors; nothing else caps their number but ``beam``. Long lists are cut into parts by hash, so that no task
+query reads the lists within a ratio of the distance to its nearest centroid, and enough of them to hold k + 1 distinct
+vectors. This ratio and the most lists read are measured: the exact k + 1 nearest of a bounded sample of queries are
+found by brute force, and both are raised from ``probe_ratio`` and ``beam`` until ``recall`` of these lie in lists read.
+Where that is more than a quarter of the lists, all centroids are ranked without the graph. Long lists are cut into parts by hash, so that no task
 holds more than about ``part_rows`` vectors; parts return their best k + 1 for each query, which are merged by rank.
 
 Scores are cosines in double precision of the vectors as stored. Equal queries are searched once.
@@ -40,7 +42,7 @@ class Centroids:
         import numpy as np
 
         n, c = len(queries), len(self.points)
-        if c <= 2 * beam:
+        if c <= max(256, 4 * beam):
             cos = queries @ self.points.T
             order = np.argsort(-cos, axis=1, kind="stable")[:, :beam]
             return order, np.take_along_axis(cos, order, 1)
@@ -114,6 +116,45 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.exists("embedding", lambda x: x != 0))
 
 
+def _reach(reps: DataFrame, posted: DataFrame, queries, model: Centroids, k: int, recall: float) -> tuple[float, int]:
+    """The distance ratio and the number of lists that reach this share of the exact k nearest of the queries (rows)."""
+    import numpy as np
+
+    unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+
+    def best(batches: Iterator) -> Iterator:
+        """The k best of the rows of a partition for each query."""
+        import pyarrow as pa
+
+        top, names = np.full((len(unit), k), -np.inf), np.full((len(unit), k), -1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                v = part.column("embedding").flatten().to_numpy().reshape(part.num_rows, -1)
+                cos = np.concatenate([top, unit @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T], 1)
+                own = np.concatenate([names, np.broadcast_to(part.column("rep").to_numpy(), (len(unit), part.num_rows))], 1)
+                pick = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+                top, names = np.take_along_axis(cos, pick, 1), np.take_along_axis(own, pick, 1)
+        i, j = np.nonzero(np.isfinite(top))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(names[i, j], pa.int64()), pa.array(top[i, j])], names=["q", "rep", "score"])
+
+    order = W.partitionBy("q").orderBy(F.desc("score"), "rep")
+    exact = reps.select("rep", "embedding").mapInArrow(best, "q int, rep long, score double").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("q", "rep")
+    held = posted.select("list", "rep").join(F.broadcast(exact), "rep").select("q", "rep", "list").collect()  # k times the lists of a vector for each query
+    cos = unit.astype(np.float32) @ model.points.T
+    rank = np.empty(cos.shape, np.int64)
+    np.put_along_axis(rank, np.argsort(-cos, axis=1, kind="stable"), np.arange(cos.shape[1])[None], 1)
+    distance = np.sqrt(np.maximum(2 - 2 * cos, 0))
+    distance /= np.maximum(distance.min(1, keepdims=True), 1e-6)
+    nearest: dict = {}
+    for r in held:
+        q, at = r["q"], (int(rank[r["q"], r["list"]]) + 1, float(distance[r["q"], r["list"]]))
+        nearest[q, r["rep"]] = min(at, nearest.get((q, r["rep"]), at))
+    needed = np.array(list(nearest.values()))
+    most, ratio = np.quantile(needed, recall, axis=0, method="higher")
+    return float(ratio) + 1e-6, int(most)
+
+
 def search(
     vectors: DataFrame,
     queries: DataFrame,
@@ -126,6 +167,8 @@ def search(
     probe_ratio: float = 1.4,
     beam: int = 128,
     part_rows: int = 4096,
+    recall: float = 0.999,
+    sample_queries: int = 256,
 ) -> DataFrame:
     """The k nearest of vectors (vec_id, embedding) found for each of queries: query_id, rank, vec_id, score."""
     import numpy as np
@@ -149,7 +192,7 @@ def search(
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     model = spark.sparkContext.broadcast(build(x, max(1, min(max_lists, total // list_rows))))  # at most max_lists vectors and links
 
-    def lists_of(ratio: float, most: int, least: int, names: tuple[str, ...]):
+    def lists_of(ratio: float, most: int, least: int, names: tuple[str, ...], beam: int = beam):
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
@@ -170,7 +213,10 @@ def search(
     posted = reps.select("rep", "embedding").mapInArrow(lists_of(replica_ratio, max_replicas, 1, ("rep", "embedding")), "list int, rep long, embedding array<double>")
     posted = materialize(posted, "ann-lists")
     wanted = asked.groupBy("embedding").agg(F.min("query_id").alias("asked"))
-    probes = wanted.select("asked", "embedding").mapInArrow(lists_of(probe_ratio, beam, 2 * (k + 1), ("asked", "embedding")), "list int, asked long, embedding array<double>")
+    tried = wanted.orderBy(F.xxhash64("asked"), "asked").limit(sample_queries).select("embedding").collect()  # at most sample_queries
+    ratio, most = _reach(reps, posted, np.array([r["embedding"] for r in tried]), model.value, k + 1, recall) if tried else (probe_ratio, beam)
+    ratio, most = max(ratio, probe_ratio), max(most, beam)
+    probes = wanted.select("asked", "embedding").mapInArrow(lists_of(ratio, most, 2 * (k + 1), ("asked", "embedding"), most), "list int, asked long, embedding array<double>")
     parts = posted.groupBy("list").agg(F.ceil(F.count("*") / F.lit(part_rows)).cast("int").alias("parts"))
     cut = posted.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("parts")  # at most max_lists rows
     spread = probes.join(F.broadcast(parts), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")

@@ -363,3 +363,15 @@ def test_pairs_with_equal_bytes_of_unequal_segments(spark):
     rows = [(1, " ".join(base + more)), (2, " ".join([*base, one])), (3, " ".join([*base, two]))]
     got = {x.doc_id: x.component_id for x in ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90).collect()}
     assert got == {i: c for i, (_, c) in brute.components(rows, 1, 90).items()} == {1: 1, 2: 2, 3: 2}
+
+
+def test_ann_reads_enough_of_many_lists(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(5000, 32))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = ann.search(frame, frame.where("vec_id % 50 = 0"), list_rows=8).collect()  # 625 lists
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cos = unit[::50] @ unit.T
+    cos[np.arange(100), np.arange(0, 5000, 50)] = -2
+    want = {(50 * q, int(v)) for q, row in enumerate(np.argsort(-cos, axis=1)[:, :5]) for v in row}
+    assert len(want & {(a.query_id, a.vec_id) for a in got}) >= 0.99 * len(want)
