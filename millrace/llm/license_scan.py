@@ -2,7 +2,9 @@
 
 A text is made canonical: A-Z lower-cased, lines that start with a copyright notice dropped, everything but letters and
 digits turned into single spaces, and equivalent spellings made one. Its SHA-256 is looked up among the digests of known
-licences, made canonical the same way: whole texts agree or they don't, there is no nearness. The table of known
+licences, made canonical the same way: whole texts agree or they don't, there is no nearness. Known are the texts of
+KNOWN and the published ones in ``licences/``, with and without usual headings, "All rights reserved", numbers of a short
+list, and the appendix that says how to apply the licence. The table of known
 licences is a parameter; where it is small Spark sends it to the documents, else both sides are dealt by digest, so a
 licence that a third of all documents hold costs its rows once and AQE splits them.
 
@@ -13,6 +15,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +50,32 @@ KNOWN = {
     "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
 }
 
+PUBLISHED = Path(__file__).parent / "licences"
+#: Lines that stand above a licence whose text has no heading of its own.
+HEADINGS = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+APPENDIX = r"(?i)\n[ \t]*(?:appendix: )?how to apply [^\n]* to your [^\n]*"
+END_OF_TERMS = r"\n[ \t]*END OF TERMS AND CONDITIONS"
+
+
+def licence_texts() -> list[tuple[str, str]]:
+    """(name, text) of KNOWN and of the published texts, in the variants in which they are usually found."""
+    published = {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in sorted(PUBLISHED.glob("*.txt"))}
+    rows = list(KNOWN.items()) + list(published.items())
+    for name, text in list(rows):
+        if name in published:
+            rows += [(name, re.split(x, text, maxsplit=1)[0]) for x in (APPENDIX, END_OF_TERMS) if re.search(x, text)]
+        if name in HEADINGS:
+            bodies = {text, re.sub(r"(?<!\S)[123]\. (?=Re|Ne)", "", text)}
+            rows += [(name, f"{h}\n{a}\n{b}") for h in ("", *HEADINGS[name]) for a in ("", "All rights reserved.") for b in bodies]
+    return rows
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text, words between single spaces; null stays null."""
@@ -63,8 +94,8 @@ def digest(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """licence, digest of known texts (name to text); by default KNOWN."""
-    rows = spark.createDataFrame(list((texts if texts is not None else KNOWN).items()), "licence string, text string")
+    """licence, digest of known texts (name to text); by default licence_texts()."""
+    rows = spark.createDataFrame(list(texts.items()) if texts is not None else licence_texts(), "licence string, text string")
     return rows.where(canonical(F.col("text")) != "").groupBy(digest(F.col("text")).alias("digest")).agg(F.min("licence").alias("licence"))
 
 

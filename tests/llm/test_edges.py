@@ -375,3 +375,15 @@ def test_ann_reads_enough_of_many_lists(spark):
     cos[np.arange(100), np.arange(0, 5000, 50)] = -2
     want = {(50 * q, int(v)) for q, row in enumerate(np.argsort(-cos, axis=1)[:, :5]) for v in row}
     assert len(want & {(a.query_id, a.vec_id) for a in got}) >= 0.99 * len(want)
+
+
+def test_licences_with_headings_and_published_texts(spark):
+    c = "Copyright (c) 2020 Me\n"
+    rows = {f"{n}/{i}": f"{h}\n\n{c}{a}\n{license_scan.KNOWN[n]}" for n in ("MIT", "ISC", "BSD-2-Clause") for i, h in enumerate(license_scan.HEADINGS[n]) for a in ("", "All rights reserved.\n")}
+    files = {f.name.removesuffix(".txt"): f.read_text() for f in license_scan.PUBLISHED.glob("*.txt")}
+    rows |= {f"{n}/full": t for n, t in files.items()}
+    rows |= {"Apache-2.0/filled": files["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Me"), "Apache-2.0/terms": files["Apache-2.0"].split("   APPENDIX")[0]}
+    rows |= {"BSD-3-Clause/bullets": "BSD 3-Clause License\n\n" + c + "All rights reserved.\n\n" + files["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")}
+    frame = spark.createDataFrame([*rows.items(), ("/none", files["MPL-2.0"] + " more")], "doc_id string, text string")
+    got = {r.doc_id: r.licence for r in license_scan.scan(frame, license_scan.known_licences(spark)).collect()}
+    assert got == {k: k.split("/")[0] or None for k in got} | {"/none": None} and len(files) == 16 and len(got) == len(rows) + 1
