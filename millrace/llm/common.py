@@ -5,6 +5,9 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 import re
 import tempfile
 import uuid
@@ -68,40 +71,58 @@ def as_row(docs: DataFrame) -> Column:
 
 # ---------------------------------------------------------------- shared storage
 
-_made: list[tuple[SparkSession, str]] = []
+_made: dict[str, SparkSession] = {}
+_recorders: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one of our own where unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one of our own where unset.
+
+    A folder of our own is on the driver's disk, so that is an error where executors are other processes.
+    """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared root; removed when the driver ends."""
-    path = f"{shared_root(spark)}/millrace-{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder name below the shared root; removed when the driver ends.
+
+    All of an application's folders lie in millrace/<application id>, so what a killed driver leaves can be told.
+    """
+    path = f"{shared_root(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     if not _made:
         atexit.register(_clean)
-    _made.append((spark, path))
+    _made[path] = spark
+    for recorder in _recorders:
+        recorder.append(path)
     return path
 
 
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """The list of folders made in the meantime."""
+    recorder: list[str] = []
+    _recorders.append(recorder)
+    try:
+        yield recorder
+    finally:
+        _recorders[:] = [r for r in _recorders if r is not recorder]
+
+
 def remove(spark: SparkSession, path: str) -> None:
+    _made.pop(path, None)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def made_tables() -> list[str]:
-    """The folders made so far in this process."""
-    return [path for _, path in _made]
-
-
 def _clean() -> None:
-    for spark, path in _made:
+    for path, spark in list(_made.items()):
         if spark.sparkContext._jsc is None:
             return
         remove(spark, path)
@@ -118,11 +139,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Delete a table that materialize() made and nothing needs any more."""
     for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        remove(table.sparkSession, path)
+        # as Spark prints them, paths of local files may have more slashes than when they were made
+        known = next((p for p in _made if re.sub("^file:/+", "/", p) == re.sub("^file:/+", "/", path)), path)
+        remove(table.sparkSession, known)
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of what has been written."""
+    """Asks for a collection on the driver, after which Spark's cleaner drops the shuffle files of what has been written.
+
+    Only disk space depends on it, and when it happens is up to the JVM; without it the files go with the application.
+    """
     spark.sparkContext._jvm.System.gc()
 
 
@@ -131,6 +157,7 @@ def free_shuffles(spark: SparkSession) -> None:
 _MASK = (1 << 64) - 1
 
 
+@lru_cache(16)
 def multipliers(n: int):
     """n odd 64-bit constants from splitmix64."""
     import numpy as np
@@ -153,26 +180,72 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2**64, grown as needed."""
+
+    def __init__(self, base: int):
+        import numpy as np
+
+        self.base, self.inverse = np.uint64(base), np.uint64(pow(int(base), -1, 1 << 64))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int):
+        import numpy as np
+
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            with np.errstate(over="ignore"):
+                self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, self.base)]), dtype=np.uint64)
+                self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, self.inverse)]), dtype=np.uint64)
+        return self.up, self.down
+
+
+_state: list = []
+_LONG_WORD = 64
+_PIECE = 1 << 20  # bytes hashed at a time
+
+
+def _piece_hashes(text: bytes):
+    """Words by a polynomial over random numbers for their bytes, from prefix sums; long words by xxhash."""
+    import numpy as np
+
+    if not _state:
+        odd = multipliers(257)
+        blank = np.zeros(256, bool)
+        blank[[9, 10, 11, 12, 13, 32]] = True
+        _state.extend([odd[:256], Powers(int(odd[256])), blank])
+    table, powers, blank = _state
+    b = np.frombuffer(text, np.uint8)
+    edges = np.flatnonzero(np.diff(blank[b], prepend=True, append=True))
+    starts, ends = edges[0::2], edges[1::2]
+    up, down = powers.of(len(b) + 1)
+    sums = np.empty(len(b) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(table[b] * up[: len(b)], dtype=np.uint64, out=sums[1:])
+    out = mixed((sums[ends] - sums[starts]) * down[starts])
+    for i in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
         import xxhash
 
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
+        out[i] = xxhash.xxh3_64_intdigest(text[starts[i] : ends[i]])
+    return out
 
 
-_words = _WordHashes()
+_BLANK = re.compile(rb"[ \t-\r]")
 
 
-def word_hashes(words: list[bytes]):
+def word_hashes(text: bytes):
+    """A 64-bit hash of each word of a text (UTF-8) of any length."""
     import numpy as np
 
-    if len(_words) > 1_000_000:
-        _words.clear()
-    _encoders.clear()  # one kind of memory at a time in a reused worker
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    if len(text) <= _PIECE:
+        return _piece_hashes(text)
+    parts, at = [], 0
+    while at < len(text):
+        gap = _BLANK.search(text, at + _PIECE)
+        end = gap.start() if gap else len(text)
+        parts.append(_piece_hashes(text[at:end]))
+        at = end
+    return np.concatenate(parts)
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -192,6 +265,8 @@ class Encoder:
     Byte-level texts with white space outside ASCII are one chunk. New chunks go to the library joined, many at a time,
     and their ids are told apart by the tokens' lengths in bytes; where the ends don't agree, each chunk goes by itself.
     Word-level vocabularies are taken to ignore the case of A-Z.
+    Special tokens that a text spells out get their own ids, as the library gives them, and part the text around them;
+    with ``special_as_text`` they are ordinary text.
     At most ``keep`` chunks of at most ``keep_bytes`` are remembered.
 
     Byte-level keys stand for " " + key, for key itself if it starts with a line feed, and for the rest after FIRST.
@@ -199,26 +274,50 @@ class Encoder:
 
     FIRST = b"\xff"
     BREAK = b"\xfe"  # a key without ids, for places between words
+    SPECIAL = b"\xfd"  # begins the key of a special token
 
-    def __init__(self, path: str, byte_level: bool, keep: int = 1_600_000, keep_bytes: int = 64):
+    def __init__(self, path: str, byte_level: bool, keep: int = 1_600_000, keep_bytes: int = 64, special_as_text: bool = False):
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.byte_level, self.keep, self.keep_bytes = byte_level, keep, keep_bytes
-        self.known: dict[bytes, bytes] = {self.BREAK: b""}
+        self.fixed: dict[bytes, bytes] = {self.BREAK: b""}
+        self.special: dict[bytes, bytes] = {}  # token to key
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            if special_as_text and token.special:
+                continue
+            if token.normalized or token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"added token {token.content!r} is matched in a way that is not supported")
+            key = self.special[token.content.encode()] = self.SPECIAL + str(i).encode()
+            self.fixed[key] = i.to_bytes(4, "little")
+        found = sorted(self.special, key=len, reverse=True)
+        self.special_at = re.compile(b"(" + b"|".join(map(re.escape, found)) + b")")
+        self.known: dict[bytes, bytes] = dict(self.fixed)
         self.marks: dict[int, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters of a token stand for bytes
         for token, i in vocabulary.items():
             self.width[i] = len(token if byte_level else token.removesuffix("</w>"))
 
+    def lowered(self, text: bytes) -> bytes:
+        """A text for word-level vocabularies: special tokens replaced by their keys, A-Z lower-cased as the vocabulary does itself."""
+        if any(s in text for s in self.special):
+            text = self.special_at.sub(lambda m: b" " + self.special[m[0]] + b" ", text)
+        return text.lower()
+
     def keys(self, text: bytes) -> list[bytes]:
         if not self.byte_level:
-            return text.lower().split()  # of A-Z, as the vocabulary's own lower-casing does
+            return self.lowered(text).split()
+        if any(s in text for s in self.special):
+            return [k for part in self.special_at.split(text) for k in ([self.special[part]] if part in self.special else self._plain(part))]
+        return self._plain(text)
+
+    def _plain(self, text: bytes) -> list[bytes]:
+        """Keys of a text without special tokens, byte level."""
         if not text:
             return []
         if not text.isascii() and any(x in text for x in _ODD_BYTES) and _ODD_SPACE.search(text.decode()):
@@ -273,8 +372,7 @@ class Encoder:
     def _learn(self, missing: set[bytes]) -> list[bytes]:
         """Makes the ids of all these keys known; returns those to forget after use."""
         if len(self.known) > self.keep:
-            self.known.clear()
-            self.known[self.BREAK] = b""
+            self.known = dict(self.fixed)
         long = [k for k in missing if len(k) > self.keep_bytes or k[:1] == self.FIRST]
         short = missing.difference(long)
         # a letter and the mark after it never share a piece: "word." is "word" and "."
@@ -299,10 +397,10 @@ class Encoder:
 
     def encode(self, lists: list[list[bytes]]) -> list[list[bytes]]:
         """Per list of keys: the ids of each key as little-endian unsigned 32-bit integers."""
-        get = self.known.get
-        out = [list(map(get, x)) for x in lists]
+        out = [list(map(self.known.get, x)) for x in lists]
         holes = [(x, e, [i for i, v in enumerate(e) if v is None]) for x, e in zip(lists, out) if None in e]
         spare = self._learn({x[i] for x, _, at in holes for i in at})
+        get = self.known.get
         for x, e, at in holes:
             for i in at:
                 e[i] = get(x[i])
@@ -315,16 +413,16 @@ class Encoder:
         return list(map(b"".join, self.encode([self.keys(t or b"") for t in texts])))
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, byte_level: bool) -> Encoder:
-    """One encoder for each vocabulary file and Python worker."""
-    if (path, byte_level) not in _encoders:
-        _words.clear()
+def encoder(path: str, byte_level: bool, special_as_text: bool = False) -> Encoder:
+    """One encoder at a time in a Python worker."""
+    key = path, byte_level, special_as_text
+    if key not in _encoders:
         _encoders.clear()
-        _encoders[path, byte_level] = Encoder(path, byte_level)
-    return _encoders[path, byte_level]
+        _encoders[key] = Encoder(path, byte_level, special_as_text=special_as_text)
+    return _encoders[key]
 
 
 def slices(batch, rows: int = 256):

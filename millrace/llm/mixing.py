@@ -16,6 +16,9 @@ so a source with a third of all rows is spread over 4,096 hash buckets or rank c
 block). The source table is one row a source and is not collected. Block size grows beyond 2**39 words in all, so that
 products of slot numbers fit 64 bits.
 
+Order. A pass over a document belongs to the slot where it begins. mix_documents deals passes by ranges of slots, which
+hold equally many words, to partitions and sorts them there, so every stretch of its rows mixes the sources as the whole.
+
 Null text has size 0 and is never taken; null source is a source, the last one. Ties in the hash (repeated rows) are
 ordered by doc_id and size. An empty table gives no rows. Other columns are kept by mix_documents.
 """
@@ -95,8 +98,8 @@ def positions(sizes: DataFrame) -> DataFrame:
     return placed.withColumn("position", F.col("before") + F.col("inside")).drop("inside", "before", "bucket")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 512, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(documents: doc_id, source, size, source_size, target, taken; the schedule). docs: doc_id, text, source."""
+def _planned(docs: DataFrame, weights: tuple[int, ...], max_epochs: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(numbered documents, sources, takes, schedule); takes: a row for each document and epoch with words and the slot of the first."""
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("order")
     sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order), "mix-sizes")
     targets = source_targets(sizes, weights, max_epochs)
@@ -109,54 +112,77 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     placed = positions(numbered)
     blocks = F.sequence(F.floor(F.col("position") / F.lit(block_words)), F.floor((F.col("position") + F.col("size") - 1) / F.lit(block_words)))
     cut = placed.where("size > 0").withColumn("block", F.explode(blocks))
-    times = slots.groupBy("number", "block", "begin", "end").agg(F.count("*").alias("times"))
-    overlap = F.greatest(F.least(F.col("position") + F.col("size"), F.col("end")) - F.greatest("position", "begin"), F.lit(0))
-    parts = cut.join(times, ["number", "block"], "left")
+    overlap = F.least(F.col("position") + F.col("size"), F.col("end")) - F.greatest("position", "begin")
+    parts = cut.join(slots.drop("rank"), ["number", "block"], "left").withColumn("words", F.when(F.col("slot").isNull(), F.lit(0)).otherwise(F.greatest(overlap, F.lit(0))).cast("long"))
     # a document with words has its position to itself
-    taken = parts.groupBy("number", "position", "doc_id", "source", "size").agg(F.sum(overlap * F.col("times")).alias("taken"))
-    empty = numbered.where("size = 0").select("number", F.lit(0).cast("long").alias("position"), "doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
-    known = sources.select("number", "source_size", "target")
-    out = taken.unionByName(empty).join(known, "number").select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    return out, slots
+    takes = parts.groupBy("number", "position", "doc_id", "source", "size", "epoch").agg(F.sum("words").alias("words"), F.min(F.when(F.col("words") > 0, F.col("slot"))).alias("slot"))
+    return numbered, sources, takes, slots
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: a row for each whole pass over a document, and the first words where a pass ends inside one."""
-    mixed, _ = mix(docs, **options)
-    # one key for the window and the join, so that texts are shuffled once; rows alike in doc_id, source and size share their takes in any order
-    plan = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    plan = plan.withColumn("_m", F.row_number().over(W.partitionBy("_id", "_source", "_size").orderBy("_taken"))).withColumn("_key", F.xxhash64("_id", "_source", "_size"))
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 512, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(documents: doc_id, source, size, source_size, target, taken, first_slot; the schedule). docs: doc_id, text, source.
+
+    first_slot is the slot of the mix in which a document is first taken, null if it is not.
+    """
+    numbered, sources, takes, slots = _planned(docs, weights, max_epochs, block_words, seed)
+    taken = takes.groupBy("number", "position", "doc_id", "source", "size").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    zero, never = F.lit(0).cast("long"), F.lit(None).cast("long")
+    empty = numbered.where("size = 0").select("number", zero.alias("position"), "doc_id", "source", "size", zero.alias("taken"), never.alias("first_slot"))
+    known = sources.select("number", "source_size", "target")
+    out = taken.unionByName(empty).join(known, "number")
+    return out.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", F.col("taken").cast("long").alias("taken"), "first_slot"), slots
+
+
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 512, seed: int = 0, partition_words: int = 1 << 24) -> DataFrame:
+    """docs as the mix takes them, in slot order: a row for each whole pass over a document, and the first words where a pass ends inside one."""
+    spark = docs.sparkSession
+    _, sources, takes, _ = _planned(docs, weights, max_epochs, block_words, seed)
+    n, words = sources.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    # one key for the window and the join, so that texts are shuffled once for it; rows alike in doc_id, source and size share their takes in any order
+    passes = F.sort_array(F.collect_list(F.struct("slot", "position", "words"))).alias("_takes")  # max_epochs + 1 at most
+    plan = takes.where("words > 0").groupBy("number", "position", "doc_id", "source", "size").agg(passes)
+    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "position", "_takes")
+    plan = plan.withColumn("_m", F.row_number().over(W.partitionBy("_id", "_source", "_size").orderBy("position"))).drop("position").withColumn("_key", F.xxhash64("_id", "_source", "_size"))
     left = docs.select(as_row(docs), word_count(F.col("text")).alias("_words")).where("_words > 0")
     own = [F.col("row.doc_id"), F.col("row.source"), F.col("_words")]
     left = left.withColumn("_lkey", F.xxhash64(*own)).repartition("_lkey")
     left = left.withColumn("_k", F.row_number().over(W.partitionBy("_lkey", *own).orderBy("_lkey")))
     same = (F.col("_lkey") == F.col("_key")) & own[0].eqNullSafe(F.col("_id")) & own[1].eqNullSafe(F.col("_source")) & (own[2] == F.col("_size")) & (F.col("_k") == F.col("_m"))
-    rest = F.pmod("_taken", "_size")
-    passes = F.array_repeat(F.lit(0).cast("long"), ((F.col("_taken") - rest) / F.col("_size")).cast("int"))
-    takes = F.concat(passes, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    joined = left.join(plan, same).withColumn("_take", F.explode(takes))
-    whole, cut = F.col("_take") == 0, F.array_join(F.slice(word_array(F.col("row.text")), F.lit(1), F.col("_take").cast("int")), " ")
+    joined = left.join(plan, same).select("row", "_size", F.explode("_takes").alias("_take"))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // partition_words))
+    dealt = joined.repartitionById(parts, F.floor(F.col("_take.slot") * F.lit(parts / max(n, 1))).cast("int")).sortWithinPartitions("_take.slot", "_take.position")
+    whole, cut = F.col("_take.words") == F.col("_size"), F.array_join(F.slice(word_array(F.col("row.text")), F.lit(1), F.col("_take.words").cast("int")), " ")
     new = {"text": F.when(whole, F.col("row.text")).otherwise(cut)}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(whole, F.col("row.n_chars")).otherwise(F.length(cut)).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return dealt.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mix(load(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
+#: For up to 2**39 words, where blocks have 512.
 ORACLE = r"""
 with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
         md5('0:' || coalesce(doc_id::varchar, '')) as o from documents),
-s as (select source, sum(size)::bigint as source_size, [5.0, 2.0, 1.0][(row_number() over (order by source nulls last) - 1)::int % 3 + 1]::double as weight from d group by source),
+s as (select source, row_number() over (order by source nulls last) as number, sum(size)::bigint as source_size, [5.0, 2.0, 1.0][(row_number() over (order by source nulls last) - 1)::int % 3 + 1]::double as weight from d group by source),
 r as (select *, (sum(source_size) over () - 3 * coalesce(sum(source_size) over before, 0)) / (sum(weight) over () - coalesce(sum(weight) over before, 0)) as rate
-        from s window before as (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+        from s window before as (order by source_size / weight, number rows between unbounded preceding and 1 preceding)),
 f as (select *, rate * weight > 3 * source_size as is_full from r),
-t as (select source, source_size, case when is_full then 3 * source_size else (select arg_min(rate, source_size / weight) from f where not is_full) * weight end::double as target from f),
-p as (select d.*, t.source_size, t.target, round(t.target)::bigint as words,
-        coalesce(sum(size) over (partition by d.source order by o, doc_id, size rows between unbounded preceding and 1 preceding), 0) as position
-        from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-    case when size = 0 then 0 else (words // source_size) * size + greatest(0, least(position + size, words % source_size) - position) end::bigint as taken from p"""
+t as (select number, source, source_size, case when is_full then 3 * source_size else (select arg_min(rate, source_size / weight) from f where not is_full) * weight end::double as target from f),
+q as (select *, round(target)::bigint as words, (source_size + 511) // 512 as blocks, round(target)::bigint % source_size as rest, round(target)::bigint // source_size as epochs from t where source_size > 0),
+l as (select *, epochs * blocks + (rest + 511) // 512 as slots, coalesce(sum(epochs * blocks + (rest + 511) // 512) over (order by number rows between unbounded preceding and 1 preceding), 0) as first from q),
+n as (select sum(slots)::bigint as n from l),
+g as (select x from (select unnest(range(1, n + 1)) as x, n from n) where gcd(x, n) = 1 order by abs(x - round(n * 0.6180339887498949)), x desc limit 1),
+k as (select k, (k::hugeint * (select x from g) % n)::bigint as x from (select unnest(range(0, n)) as k, n from n)),
+m as (select k.k as slot, l.*, row_number() over (partition by l.number order by k.k) - 1 as place from k join l on k.x >= l.first and k.x < l.first + l.slots),
+b as (select slot, number, place % blocks as block, (place % blocks) * 512 as start, least((place % blocks) * 512 + 512, case when place // blocks = epochs then rest else source_size end) as stop from m),
+p as (select row_number() over () as i, d.*, t.number, t.source_size, t.target,
+        coalesce(sum(size) over (partition by d.source order by o, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as position
+        from d join t on d.source is not distinct from t.source),
+c as (select *, unnest(range(position // 512, (position + size - 1) // 512 + 1)) as block from p where size > 0),
+o as (select c.i, sum(greatest(0, least(position + size, stop) - greatest(position, start))) as taken, min(slot) filter (least(position + size, stop) > greatest(position, start)) as first_slot
+        from c join b on c.number = b.number and c.block = b.block group by c.i)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, first_slot::bigint as first_slot from p left join o on p.i = o.i"""

@@ -28,19 +28,24 @@ link with nothing. Rows that share a doc_id are one node, with a set each. An em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
+from millrace.llm.common import discard, free_shuffles, load, materialize, mixed, multipliers, ship, slices, word_hashes
 from millrace.llm.components import components
 
+#: Bands of more segments are never reallocated, so that what allocate() collects is bounded.
+MOST_SEGMENTS = 4096
+
+
 def shingle_set(text: bytes, n: int):
     """The set as ascending unsigned 64-bit hashes."""
     import numpy as np
 
-    h, k = word_hashes(text.lower().split()), multipliers(n)  # bytes.lower changes A-Z only
+    h, k = word_hashes(text.lower()), multipliers(n)  # bytes.lower changes A-Z only
     if not len(h):
         return h
     if len(h) < n:
@@ -102,12 +107,18 @@ class Bands:
         return b > 0 and self.reach(self.edges[b] - 1) >= size
 
 
+@lru_cache(256)
+def _cuts(parts: int):
+    import numpy as np
+
+    return np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+
 def segment_sums(s, parts: int):
     """Per range of the hash universe: the sum of its elements' mixed hashes, and the ranges' bounds in s."""
     import numpy as np
 
-    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-    bounds = np.concatenate([[0], np.searchsorted(s, cuts), [len(s)]])
+    bounds = np.concatenate([[0], np.searchsorted(s, _cuts(parts)), [len(s)]])
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(s + np.uint64(1)), dtype=np.uint64)])
     return running[bounds[1:]] - running[bounds[:-1]], bounds
 
@@ -290,10 +301,10 @@ def _links(pairs: DataFrame, texts: DataFrame, digests: DataFrame, n: int, perce
 def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
     """Candidate pairs between components within groups of equal signatures, once for each group that a pair shares.
 
-    members: sig, doc, own, component, n_shingles and the bytes of its half segments in this band (sums).
+    members: sig, n (members of the group), doc, own, component, n_shingles and the bytes of its half segments in this band (sums).
     """
-    rank = F.row_number().over(W.partitionBy("sig").orderBy("doc")) - 1
-    sized = members.withColumn("blk", F.floor(rank / F.lit(block)).cast("int")).withColumn("blks", F.floor((F.count("*").over(W.partitionBy("sig")) - 1) / F.lit(block)).cast("int") + 1)
+    # blocks by hash, so that no task holds or ranks a whole group
+    sized = members.withColumn("blks", F.ceil(F.col("n") / F.lit(block)).cast("int")).withColumn("blk", F.pmod(F.xxhash64("doc"), F.col("blks")).cast("int"))
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blks") - 1)))
     sized = sized.withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("other", "blks")
 
@@ -321,18 +332,32 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
     return sized.groupBy("sig", "x", "y").applyInPandas(run, "a long, b long")
 
 
-# ---------------------------------------------------------------- allocation
+# ---------------------------------------------------------------- groups
+
+
+def group_stats(members: DataFrame) -> DataFrame:
+    """A row for each signature under which an indexed set meets another: sig, band, segment, low (least doc), n, size.
+
+    Aggregated in part before the shuffle and written, so that members join it by plain scans, whose hot keys are split.
+    """
+    found = members.groupBy("sig").agg(F.min("band").alias("band"), F.min("segment").alias("segment"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("own").alias("indexed"), F.count("*").alias("n"), F.max("n_shingles").alias("size"))
+    return materialize(found.where("low < high and indexed").drop("high", "indexed"), "ngram-sizes")
 
 
 def allocate(groups: DataFrame, percent: int, pair_cost: float = 1 / 40, least_pairs: int = 1 << 16) -> tuple[list, list]:
-    """(skipped, raised) lists of (band, segment) from the sizes of signature groups; both bounded by the number of segments.
+    """(skipped, raised) lists of (band, segment) from the sizes of signature groups.
 
     groups: band, segment, members (own and probing) of groups of two or more. Costs are in signature rows; a pair
-    compared in a block costs pair_cost of one. A segment is skipped only if it has least_pairs pairs or more.
+    compared in a block costs pair_cost of one. A segment is skipped only if it has least_pairs pairs or more, and only
+    in bands of at most MOST_SEGMENTS segments, of which there are a few dozen (or, at 100 percent, as many as that with one
+    segment each): that bounds what is collected.
     """
-    loads = groups.groupBy("band", "segment").agg(F.sum(F.col("n") * F.col("n")).alias("load"), F.max("docs").alias("docs"), F.max("size").alias("size"))
-    heavy = loads.where(F.col("load") >= least_pairs).select("band").distinct()
     bands, rows = Bands(percent), {}
+    last = 0
+    while last < MOST_SEGMENTS and bands.segments(last) <= MOST_SEGMENTS:
+        last += 1
+    loads = groups.where(F.col("band") < last).groupBy("band", "segment").agg(F.sum(F.col("n") * F.col("n")).alias("load"), F.max("docs").alias("docs"), F.max("size").alias("size"))
+    heavy = loads.where(F.col("load") >= least_pairs).select("band").distinct()
     for r in loads.join(heavy, "band").collect():  # rows for each segment of the bands with heavy groups
         rows.setdefault(r["band"], []).append((r["load"], r["segment"], r["docs"], r["size"]))
     skipped, raised = [], []
@@ -356,62 +381,80 @@ def allocate(groups: DataFrame, percent: int, pair_cost: float = 1 / 40, least_p
 def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = 512, frequent: int = 64, pair_cost: float = 1 / 40, least_pairs: int = 1 << 16) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = materialize(_digests(texts, n, percent), "ngram-signatures")
+    rows = materialize(found.select("doc_id", "n_shingles", "digest", "band", "own_spare", "probe_spare"), "ngram-rows")
+    known = rows.where("n_shingles > 0 and doc_id is not null")
+    # classes of equal sets; a set of one row is its own class and needs no entry
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    classes = materialize(classes, "ngram-classes")
+    reps = known.join(classes, "digest", "left").where("rep is null or doc_id = rep")
+    reps = materialize(reps.select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "own_spare", "probe_spare").distinct(), "ngram-sets")
     # place: band, segment and whether it is indexed (1) or probes (0), in one number
     place = lambda band, bit: F.shiftleft(band.cast("long"), 40) + F.shiftleft(F.col("segment").cast("long"), 1) + bit
-    index = found.select("doc_id", "band", F.posexplode("own").alias("segment", "sig")).select("sig", F.col("doc_id").alias("doc"), place(F.col("band"), 1).alias("place"))
-    below = found.select("doc_id", "band", F.posexplode("probe").alias("segment", "sig")).select("sig", F.col("doc_id").alias("doc"), place(F.col("band") - 1, 0).alias("place"))
-    posted = index.unionByName(below).where("sig is not null")
-    group = W.partitionBy("sig")
-    # groups without an indexed member hold no candidates
-    shared = posted.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max(F.col("place").bitwiseAND(F.lit(1))).over(group))
-    shared = materialize(shared.where("high > low and indexed = 1").select("sig", "doc", "place"), "ngram-shared")
-    rows = materialize(found.select("doc_id", "n_shingles", "digest", "band", "own_spare", "probe_spare"), "ngram-rows")
+    index = lambda *more: found.select("doc_id", "band", *more, F.posexplode("own").alias("segment", "sig")).where("sig is not null")
+    below = lambda *more: found.select("doc_id", "band", *more, F.posexplode("probe").alias("segment", "sig")).where("sig is not null")
+    # signatures with an indexed member and two unequal sets; partial aggregation keeps hot ones small
+    set_hash = F.xxhash64("digest").alias("set")
+    met = index(set_hash).select("sig", "set", F.lit(True).alias("own")).unionByName(below(set_hash).select("sig", "set", F.lit(False).alias("own")))
+    met = met.groupBy("sig").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.max("own").alias("own")).where("low < high and own").select("sig")
+    met = materialize(met, "ngram-met")
     free_shuffles(spark)
-    known = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "own_spare", "probe_spare").distinct()
-    shared = shared.join(reps.drop("digest"), "doc").withColumn("own", F.col("place").bitwiseAND(F.lit(1)) == 1).withColumn("segment", F.shiftright("place", 1).bitwiseAND(F.lit((1 << 38) - 1)).cast("int"))
-    shared = shared.where(F.col("band") == F.shiftright("place", 40).cast("int") + (~F.col("own")).cast("int"))  # of rows that share a doc_id, the right one
-    shared = shared.withColumn("spare", F.when(F.col("own"), F.col("own_spare")).otherwise(F.col("probe_spare"))).withColumn("band", F.shiftright("place", 40).cast("int"))
+    posted = index().select("sig", F.col("doc_id").alias("doc"), place(F.col("band"), 1).alias("place")).unionByName(below().select("sig", F.col("doc_id").alias("doc"), place(F.col("band") - 1, 0).alias("place")))
+    shared = materialize(posted.join(met, "sig", "left_semi"), "ngram-shared")
+    discard(met)
+    free_shuffles(spark)
+    own = F.col("place").bitwiseAND(F.lit(1)) == 1
+    placed = shared.join(reps.drop("digest"), "doc").withColumn("own", own).withColumn("segment", F.shiftright("place", 1).bitwiseAND(F.lit((1 << 38) - 1)).cast("int"))
+    placed = placed.where(F.col("band") == F.shiftright("place", 40).cast("int") + (~F.col("own")).cast("int"))  # of rows that share a doc_id, the right one
+    placed = placed.withColumn("spare", F.when(F.col("own"), F.col("own_spare")).otherwise(F.col("probe_spare"))).withColumn("band", F.shiftright("place", 40).cast("int"))
+    placed = materialize(placed.select("sig", "doc", "band", "segment", "own", "n_shingles", "spare"), "ngram-placed")
+    discard(shared)
     # frequent signatures are skipped by the sets that can afford to skip all of theirs
-    counted = shared.withColumn("n", F.count("*").over(group)).where("n > 1").withColumn("frequent", F.col("n") > frequent)
-    of = W.partitionBy("doc", "band", "own", "n_shingles")
+    often = materialize(placed.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > frequent).select("sig", F.lit(True).alias("frequent")), "ngram-frequent")
+    counted = placed.join(often, "sig", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
+    of = W.partitionBy("doc", "band", "own", "n_shingles")  # a set's segments
     counted = counted.withColumn("afford", F.count_if("frequent").over(of) <= F.col("spare"))
-    counted = counted.where("not (frequent and afford)").select("sig", "doc", "band", "segment", "own", "n_shingles")
-    limits = lambda df: df.withColumn("low", F.min("doc").over(group)).withColumn("high", F.max("doc").over(group)).withColumn("indexed", F.max("own").over(group)).where("high > low and indexed").drop("high", "indexed")
-    shared = materialize(limits(counted), "ngram-groups")
-    sizes = shared.groupBy("sig", "band", "segment").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
+    groups = materialize(counted.where("not (frequent and afford)").select("sig", "doc", "band", "segment", "own", "n_shingles"), "ngram-groups")
+    discard(placed)
+    free_shuffles(spark)
+    sizes = group_stats(groups)
     volume = rows.groupBy("band").agg(F.count("*").alias("docs"))
     volume = volume.union(volume.withColumn("band", F.col("band") - 1)).groupBy("band").agg(F.sum("docs").alias("docs"))
     skipped, raised = allocate(sizes.join(volume, "band"), percent, pair_cost, least_pairs)
     if skipped:
         drop = spark.createDataFrame(skipped, "band int, segment int")
         near = _deletion_rows(texts, n, percent, raised).join(reps.select("doc", "digest", "n_shingles"), ["doc", "digest"]).drop("digest").distinct()
-        shared = materialize(shared.join(F.broadcast(drop), ["band", "segment"], "left_anti").unionByName(limits(near)), "ngram-groups")
+        groups = materialize(groups.join(F.broadcast(drop), ["band", "segment"], "left_anti").unionByName(near), "ngram-groups")
+        sizes = group_stats(groups)
+    lows = sizes.select("sig", "low")
     key = ["doc", "n_shingles", "digest"]
-    needed = reps.join(shared.select("doc", "n_shingles").distinct(), ["doc", "n_shingles"]).select(*key)
+    needed = reps.join(groups.join(lows, "sig", "left_semi").select("doc", "n_shingles").distinct(), ["doc", "n_shingles"]).select(*key)
     fine = materialize(found.select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "fine", "below").join(needed, key).dropDuplicates(key), "ngram-halves")
     discard(found)
     free_shuffles(spark)
     digests = reps.select(F.col("doc").alias("doc_id"), "digest")
-    stars = shared.where("doc <> low").select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = groups.join(lows, "sig").where("doc <> low").select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
     links = _links(materialize(_near_enough(stars, fine, percent), "ngram-pairs"), texts, digests, n, percent)
     joined = components(links)
-    labelled = shared.join(joined.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    rest = labelled.withColumn("one", F.min("component").over(group)).withColumn("other", F.max("component").over(group)).withColumn("n", F.count("*").over(group))
-    rest = rest.where("one <> other and n > 2").drop("one", "other", "n", "low")
+    labelled = groups.join(joined.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    labelled = materialize(labelled.select("sig", "doc", "own", "component", "n_shingles"), "ngram-labelled")
+    apart = labelled.groupBy("sig").agg(F.min("component").alias("one"), F.max("component").alias("other"), F.count("*").alias("n")).where("one <> other and n > 2").select("sig", "n")
+    rest = labelled.join(materialize(apart, "ngram-apart").join(lows, "sig", "left_semi"), "sig")
     halves = fine.select("doc", "n_shingles", "fine", "below")
     rest = rest.join(halves, ["doc", "n_shingles"]).withColumn("sums", F.when(F.col("own"), F.col("fine")).otherwise(F.col("below"))).drop("fine", "below")
     more = materialize(_block_pairs(rest, percent, block).distinct(), "ngram-pairs")
     if more.take(1):
         links = links.unionByName(_links(more, texts, digests, n, percent))
-    # equal sets are linked without comparing
-    same = known.join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    joined = components(links.unionByName(same))
-    out = rows.select("doc_id", "n_shingles").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # rows that share a doc_id join the classes of their sets
+    several = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
+    across = known.join(several, "doc_id", "left_semi").join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    joined = components(links.unionByName(across))
+    labels = classes.join(joined, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("label"))
+    named = rows.where("doc_id is not null").join(labels, "digest", "left").join(joined, F.col("doc_id") == F.col("node"), "left")
+    out = named.select("doc_id", "n_shingles", F.coalesce("label", "component", "doc_id").alias("component_id"))
+    return out.unionByName(rows.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

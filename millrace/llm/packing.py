@@ -14,7 +14,8 @@ Nothing is shuffled: each input partition is packed by itself, a block at a time
 batch. A rerun of a task gives the same windows, since a scan yields the same rows in the same order.
 
 Null text counts as empty: one piece that holds the end id alone. Repeated or null doc_ids are separate documents.
-Empty tables give no rows. Other columns are ignored.
+Empty tables give no rows. Other columns are ignored. Special tokens that a text spells out get their own ids, as the
+library's default is; with ``special_as_text`` they are ordinary text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Encoder, encoder, load, slices, tokenizer_file
+from millrace.llm.common import Encoder, encoder, load, ship, slices, tokenizer_file
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _KIND = bytes(1 if chr(c) in ".!?" or c == Encoder.BREAK[0] else 2 if chr(c) in "\"')]}" else 0 for c in range(256))
@@ -140,10 +141,12 @@ def pack(
     sentence_penalty: int = 8,
     inner_penalty: int = 48,
     sequence_cost: int = 32,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Pieces of packed sequences with their ids: see the module's text. docs: doc_id, text."""
     path = tokenizer or tokenizer_file("word_bpe_49k.json")
     max_gap = min(max_gap, window)
+    ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -154,7 +157,7 @@ def pack(
         schema = pa.schema(
             [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
         )
-        encode, end = encoder(path, byte_level=False), end_id.to_bytes(4, "little")
+        encode, end = encoder(path, False, special_as_text), end_id.to_bytes(4, "little")
         new = lambda: _Block(window, max_gap, sentence_penalty, inner_penalty)
         block, sequence = new(), TaskContext.get().partitionId() << 40
 
@@ -167,7 +170,7 @@ def pack(
         for batch in batches:
             for part in slices(batch):
                 texts = part.column(1).cast(pa.binary()).to_pylist()
-                words = [(t or b"").lower().replace(b"\n", line_end).split() for t in texts]
+                words = [encode.lowered(t or b"").replace(b"\n", line_end).split() for t in texts]
                 for doc_id, own, ids in zip(part.column(0).to_pylist(), words, encode.encode(words)):
                     places = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[sentence_ends(own)] // 4
                     block.add(doc_id, b"".join(ids) + end, np.unique(places))

@@ -8,15 +8,17 @@ in a document with a smaller doc_id is removed; windows are judged on the input.
    copies of a class's smallest doc_id go whole, if they have a window at all.
 2. Confirming. Only windows whose seed occurs in documents with different doc_ids are hashed (96 bits); those found under
    two doc_ids or more recur, and belong to the smallest one.
-3. Passages. In that document, recurring windows that follow each other form a passage, kept as text with its seeds.
-4. Automata. Documents with a recurring seed are dealt into shards of bounded size; a shard gets the passages with a seed
-   that occurs in it, compiles their seeds into one automaton over word numbers (pyahocorasick), and streams its
-   documents through it. Each occurrence is extended to the longest agreement with its passage, word by word, so what is
-   removed is exact; agreements shorter than a window are left alone.
+3. Passages. In that document, recurring windows that follow each other form a passage, kept as text with its seeds, in
+   pieces of at most ``passage_windows`` windows (which overlap by a window less one word, so each window is in one piece).
+4. Automata. Documents with a recurring seed are dealt into shards of bounded size; a shard gets the pieces with a window
+   that a later document of the shard holds, compiles their seeds into one automaton over word numbers (pyahocorasick),
+   and streams its documents through it. Each occurrence is extended to the longest agreement with its piece, word by
+   word, so what is removed is exact; agreements shorter than a window are left alone.
 
 Only hashes of 1 word run in 14 are shuffled for all documents, window hashes for recurring seeds alone, and texts only of
-documents with such seeds. A seed that a third of all documents contain costs a row for each of them in a spillable sort,
-and after that a row for each shard.
+documents with such seeds. Hot seeds, windows and classes of copies are aggregated in part before they are shuffled, and
+what is kept of them is written, so that joins with it are of plain scans, whose hot keys Spark splits. What a shard gets
+is bounded by its own words: a piece for each window of its documents at most.
 
 Null text has no words. Rows with a null doc_id are left alone and do not count as earlier documents. Rows that share a
 doc_id don't repeat each other. Empty tables give no rows. Other columns are kept by strip_repeats.
@@ -30,30 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_row, free_shuffles, load, materialize, mixed, multipliers, slices, word_hashes
+from millrace.llm.common import Powers, as_row, discard, free_shuffles, load, materialize, mixed, multipliers, ship, slices, word_hashes
 
 
-class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown as needed."""
-
-    def __init__(self, base: int):
-        import numpy as np
-
-        self.base, self.inverse = np.uint64(base), np.uint64(pow(int(base), -1, 1 << 64))
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int):
-        import numpy as np
-
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            with np.errstate(over="ignore"):
-                self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, self.base)]), dtype=np.uint64)
-                self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, self.inverse)]), dtype=np.uint64)
-        return self.up, self.down
-
-
-_powers: list[_Powers] = []
+_powers: list[Powers] = []
+_RUN = 1 << 20  # words hashed at a time
 
 
 def run_hashes(hashes, length: int, which: int = 0):
@@ -61,19 +44,32 @@ def run_hashes(hashes, length: int, which: int = 0):
     import numpy as np
 
     if not _powers:
-        _powers.extend(_Powers(int(b)) for b in multipliers(8)[6:8])
+        _powers.extend(Powers(int(b)) for b in multipliers(8)[6:8])
     n = len(hashes)
+    if n > 2 * _RUN:
+        return np.concatenate([run_hashes(hashes[a : a + _RUN + length - 1], length, which) for a in range(0, n - length + 1, _RUN)])
     up, down = _powers[which].of(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
     return mixed((sums[length:] - sums[:-length]) * down[: n - length + 1])
 
 
 def window_seeds(hashes, window: int, seed: int):
-    """(position of each window's seed, hashes of all seed-length runs); empty if there is no window."""
+    """The seed of each window: the least hash of a run of ``seed`` words in it; empty if there is no window."""
     import numpy as np
 
     if len(hashes) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64)
+    least, size, runs = run_hashes(hashes, seed), 1, window - seed + 1
+    while 2 * size <= runs:  # minima over runs twice as many
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    left = runs - size
+    return np.minimum(least[:-left], least[left:]) if left else least
+
+
+def seed_places(hashes, window: int, seed: int):
+    """(position of each window's seed, hashes of all seed-length runs) of a text with a window."""
+    import numpy as np
+
     runs = run_hashes(hashes, seed)
     least = np.lib.stride_tricks.sliding_window_view(runs, window - seed + 1).argmin(axis=1)
     return least + np.arange(len(least)), runs
@@ -92,9 +88,8 @@ def _survey(docs: DataFrame, window: int, seed: int) -> DataFrame:
             for part in slices(batch):
                 out = []
                 for text in part.column(2).cast(pa.binary()).to_pylist():
-                    words = (text or b"").split()
-                    at, runs = window_seeds(word_hashes(words), window, seed)
-                    out.append((len(words), sha256(b" ".join(words)).digest(), np.unique(runs[at]).view(np.int64)))
+                    hashes = word_hashes(text or b"")
+                    out.append((len(hashes), sha256(b" ".join((text or b"").split())).digest(), np.unique(window_seeds(hashes, window, seed)).view(np.int64)))
                 n, sha, seeds = zip(*out)
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, seeds)]).astype(np.int32), pa.array(np.concatenate(seeds)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.binary()), lists], names=["doc_id", "th", "n_words", "sha", "seeds"])
@@ -103,7 +98,7 @@ def _survey(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def _windows(flagged: DataFrame, window: int, seed: int) -> DataFrame:
-    """doc_id and, as arrays, hashes (w) and checks (c) of the windows whose seed recurs."""
+    """doc_id, th and, as arrays, hashes (w) and checks (c) of the windows whose seed recurs."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -112,44 +107,43 @@ def _windows(flagged: DataFrame, window: int, seed: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 64):
                 w, c = [], []
-                for text, seeds in zip(part.column(1).cast(pa.binary()).to_pylist(), part.column(2)):
-                    hashes = word_hashes(text.split())
-                    at, runs = window_seeds(hashes, window, seed)
-                    hit = np.isin(runs[at], seeds.values.to_numpy().view(np.uint64))
+                for text, seeds in zip(part.column(2).cast(pa.binary()).to_pylist(), part.column(3)):
+                    hashes = word_hashes(text)
+                    hit = np.isin(window_seeds(hashes, window, seed), seeds.values.to_numpy().view(np.uint64))
                     w.append(run_hashes(hashes, window)[hit].view(np.int64))
                     c.append((run_hashes(hashes, window, 1)[hit] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 offsets = np.cumsum([0, *map(len, w)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (w, c)]], names=["doc_id", "w", "c"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (w, c)]], names=["doc_id", "th", "w", "c"])
 
-    return flagged.select("doc_id", "text", "seeds").mapInArrow(run, "doc_id long, w array<long>, c array<int>")
+    return flagged.select("doc_id", "th", "text", "seeds").mapInArrow(run, "doc_id long, th long, w array<long>, c array<int>")
 
 
-def _passages(owned: DataFrame, window: int, seed: int) -> DataFrame:
-    """Recurring passages of the documents that own them: doc_id, start, text, seeds, places (of seeds, in words)."""
+def _passages(owned: DataFrame, window: int, seed: int, most: int) -> DataFrame:
+    """Pieces of recurring passages of the documents that own them: owner, th, start, passage, places (of seeds, in words) and windows (hashes)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema([("owner", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("passage", pa.binary()), ("seeds", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+        schema = pa.schema([("owner", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("passage", pa.binary()), ("places", pa.list_(pa.int32())), ("windows", pa.list_(pa.int64()))])
         for batch in batches:
             for part in slices(batch, 64):
                 rows = []
                 for doc_id, th, text, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).cast(pa.binary()).to_pylist(), part.column(3)):
                     words = text.split()
-                    hashes = word_hashes(words)
-                    at, runs = window_seeds(hashes, window, seed)
-                    if not len(at):
+                    hashes = word_hashes(text)
+                    if len(words) < window:
                         continue
-                    hit = np.flatnonzero(np.isin(run_hashes(hashes, window), found.values.to_numpy().view(np.uint64)))
-                    for run_ in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
-                        if len(run_):
-                            a, b = int(run_[0]), int(run_[-1]) + window
-                            places = np.unique(at[run_])
-                            rows.append({"owner": doc_id, "th": th, "start": a, "passage": b" ".join(words[a:b]), "seeds": runs[places].view(np.int64).tolist(), "places": (places - a).tolist()})
+                    at, _ = seed_places(hashes, window, seed)
+                    own = run_hashes(hashes, window)
+                    hit = np.flatnonzero(np.isin(own, found.values.to_numpy().view(np.uint64)))
+                    for whole in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
+                        for piece in (whole[k : k + most] for k in range(0, len(whole), most)):
+                            a, b = int(piece[0]), int(piece[-1]) + window
+                            rows.append({"owner": doc_id, "th": th, "start": a, "passage": b" ".join(words[a:b]), "places": (np.unique(at[piece]) - a).tolist(), "windows": own[piece].view(np.int64).tolist()})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return owned.select("doc_id", "th", "text", "found").mapInArrow(run, "owner long, th long, start long, passage binary, seeds array<long>, places array<int>")
+    return owned.select("doc_id", "th", "text", "found").mapInArrow(run, "owner long, th long, start long, passage binary, places array<int>, windows array<long>")
 
 
 def covered_spans(words: list[int], hits: list[tuple[int, list]], passages: list, doc_id: int, window: int) -> list[tuple[int, int]]:
@@ -236,39 +230,47 @@ def _scan(window: int, seed: int):
     return run
 
 
-def find_repeats(docs: DataFrame, window: int = 50, seed: int = 25, shard_words: int = 400_000) -> tuple[DataFrame, DataFrame]:
+def find_repeats(docs: DataFrame, window: int = 50, seed: int = 25, shard_words: int = 400_000, passage_windows: int = 512) -> tuple[DataFrame, DataFrame]:
     """(survey of all rows: doc_id, th, n_words, sha; changed rows: doc_id, th, spans, n_removed, kept). docs: doc_id, text.
 
     th is xxhash64(text): a row is known by (doc_id, th). ``spans`` are the word spans removed and ``kept`` the rest.
     """
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("th", F.xxhash64("text"))
     rows = materialize(_survey(texts, window, seed), "repeat-seeds")
     named = rows.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    classes = named.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    reps = named.join(classes.withColumnRenamed("first", "doc_id"), ["sha", "doc_id"], "left_semi")
-    posted = reps.select("doc_id", "th", F.explode("seeds").alias("seed"))
-    same = W.partitionBy("seed")
-    shared = posted.withColumn("low", F.min("doc_id").over(same)).withColumn("high", F.max("doc_id").over(same)).where("low < high")
-    shared = materialize(shared.groupBy("doc_id", "th").agg(F.collect_set("seed").alias("seeds")), "repeat-shared")
+    # classes of two rows or more that are word for word equal
+    classes = named.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    classes = materialize(classes, "repeat-classes")
+    reps = named.select("doc_id", "th", "sha").join(classes, "sha", "left").where("first is null or doc_id = first").select("doc_id", "th")
+    # seeds of two different texts
+    met = named.select(F.xxhash64("sha").alias("of"), F.explode("seeds").alias("seed")).groupBy("seed").agg(F.min("of").alias("low"), F.max("of").alias("high"))
+    met = materialize(met.where("low < high").select("seed"), "repeat-met")
+    posted = named.select("doc_id", "th", F.explode("seeds").alias("seed"))
+    shared = posted.join(met, "seed", "left_semi").groupBy("doc_id", "th").agg(F.collect_set("seed").alias("seeds"))
+    shared = materialize(shared.join(reps, ["doc_id", "th"], "left_semi"), "repeat-shared")
+    discard(met)
     free_shuffles(spark)
     flagged = materialize(texts.join(shared, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "repeat-texts")
     free_shuffles(spark)
-    windows = _windows(flagged, window, seed).select("doc_id", F.explode(F.arrays_zip("w", "c")).alias("x")).select("doc_id", "x.w", "x.c")
-    recurring = windows.groupBy("w", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    found = recurring.groupBy(F.col("low").alias("doc_id")).agg(F.collect_list("w").alias("found"))
-    passages = materialize(_passages(flagged.join(found, "doc_id"), window, seed), "repeat-passages")
-    free_shuffles(spark)
+    windows = materialize(_windows(flagged, window, seed), "repeat-windows").select("doc_id", "th", F.explode(F.arrays_zip("w", "c")).alias("x")).select("doc_id", "th", "x.w", "x.c")
+    recurring = windows.groupBy("w", "c").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    recurring = materialize(recurring, "repeat-recurring")
+    found = recurring.groupBy(F.col("low").alias("doc_id")).agg(F.collect_list("w").alias("found"))  # windows of the document itself
+    passages = materialize(_passages(flagged.join(found, "doc_id"), window, seed, passage_windows), "repeat-passages")
     words = rows.join(shared.select("doc_id", "th"), ["doc_id", "th"], "left_semi").agg(F.sum("n_words")).first()[0] or 0
     shards = max(1, -(-words // shard_words))
-    shard = F.pmod(F.xxhash64("doc_id", "th"), F.lit(shards))
-    places = shared.select(shard.alias("shard"), F.explode("seeds").alias("seed")).distinct()
+    shard = F.pmod(F.xxhash64("doc_id", "th"), F.lit(shards)).alias("shard")
+    wanted = windows.join(recurring, ["w", "c"]).where("low < doc_id").select(shard, F.col("low").alias("owner"), "w").distinct()
     key = ["owner", "th", "start"]
-    routes = passages.select(*key, F.explode("seeds").alias("seed")).join(places, "seed").select("shard", *key).distinct()
-    routed = routes.join(passages.select(*key, "passage", "places"), key).select("shard", "owner", "passage", "places")
-    dealt = flagged.select(shard.alias("shard"), "doc_id", "th", "text")
+    routes = passages.select(*key, F.explode("windows").alias("w")).join(wanted, ["owner", "w"]).select("shard", *key).distinct()
+    routed = materialize(routes.join(passages.select(*key, "passage", "places"), key).select("shard", "owner", "passage", "places"), "repeat-routed")
+    free_shuffles(spark)
+    dealt = flagged.select(shard, "doc_id", "th", "text")
     changed = dealt.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(_scan(window, seed), "doc_id long, th long, spans array<struct<start:long,end:long>>, n_removed long, kept string")
-    whole = named.join(classes, "sha").where("doc_id > first").select("doc_id", "th", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))).alias("spans"), F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
+    whole = named.select("doc_id", "th", "sha", "n_words").join(classes, "sha").where("doc_id > first")
+    whole = whole.select("doc_id", "th", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))).alias("spans"), F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
     return rows, changed.unionByName(whole.dropDuplicates(["doc_id", "th"]))
 
 

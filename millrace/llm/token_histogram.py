@@ -3,8 +3,9 @@
 Documents are aggregated by encoded length: each task counts lengths batch by batch, so what is shuffled is a row for
 each length and batch at most. Prefix sums over the histogram then answer, for every context limit, how many documents
 and tokens lie within it, how many documents are cut, and how many tokens remain after truncation; quantiles are the
-first length at which enough documents are reached. The sums take two levels (within ranges of 1,024 lengths, then over
-ranges), so the histogram itself is never in one task.
+first length at which enough documents are reached. The sums take two levels (within ranges of 128 lengths, then over
+ranges), so the histogram itself is never in one task. It is written before it is read twice for that, so texts are
+encoded once.
 
 Null and empty texts have 0 tokens. Repeated rows count each time. An empty table has an empty histogram. Columns other
 than text are not read.
@@ -19,19 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import encoder, load, slices, tokenizer_file
+from millrace.llm.common import encoder, load, materialize, ship, slices, tokenizer_file
 
-RANGE = 1024
+RANGE = 128
 
 
-def histogram(docs: DataFrame, tokenizer: str | None = None, byte_level: bool = True) -> DataFrame:
+def histogram(docs: DataFrame, tokenizer: str | None = None, byte_level: bool = True, special_as_text: bool = False) -> DataFrame:
     """n_tokens, documents for every length that occurs. docs: text."""
     path = tokenizer or tokenizer_file("byte_bpe_50k.json")
+    ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encode, counts = encoder(path, byte_level), Counter()
+        encode, counts = encoder(path, byte_level, special_as_text), Counter()
         for batch in batches:
             for part in slices(batch):
                 counts.update(len(ids) // 4 for ids in encode.encode_texts(part.column(0).cast(pa.binary()).to_pylist()))
@@ -44,10 +46,10 @@ def histogram(docs: DataFrame, tokenizer: str | None = None, byte_level: bool =
 
 def limits(hist: DataFrame) -> DataFrame:
     """The histogram with, for each length as a context limit: documents_within, documents_cut, tokens_within, tokens_kept."""
-    hist = hist.withColumn("part", F.floor(F.col("n_tokens") / F.lit(RANGE)))
+    hist = materialize(hist, "token-lengths").withColumn("part", F.floor(F.col("n_tokens") / F.lit(RANGE)))
     tokens = F.col("n_tokens") * F.col("documents")
     parts = hist.groupBy("part").agg(F.sum("documents").alias("d"), F.sum(tokens).alias("t"))
-    before = W.partitionBy(F.lit(0)).orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row for each 1,024 lengths
+    before = W.partitionBy(F.lit(0)).orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row for each 128 lengths
     parts = parts.select("part", F.coalesce(F.sum("d").over(before), F.lit(0)).alias("d"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t"), F.sum("d").over(W.partitionBy(F.lit(0))).alias("all"))
     inside = W.partitionBy("part").orderBy("n_tokens").rowsBetween(W.unboundedPreceding, 0)
     summed = hist.withColumn("di", F.sum("documents").over(inside)).withColumn("ti", F.sum(tokens).over(inside)).join(parts, "part")

@@ -8,7 +8,8 @@ high bits in unary, and the position of every 256th one as select samples: about
 Documents are range-partitioned by (doc_id, hash of text), so a repeated doc_id doesn't gather in one task, and sorted
 within partitions; each task streams its shard to a temporary name and renames it, so that a repeated task overwrites
 the same bytes. The driver learns a row for each shard. Null doc_ids come first, null text counts as empty, repeated
-doc_ids are separate documents in order of their texts' hashes. An empty table gives no rows.
+doc_ids are separate documents in order of their texts' hashes. An empty table gives no rows. Special tokens
+that a text spells out get their own ids, as the library's default is; with ``special_as_text`` they are ordinary text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import encoder, load, shared_path, slices, tokenizer_file
+from millrace.llm.common import encoder, load, shared_path, ship, slices, tokenizer_file
 
 SAMPLE = 256
 _FOOTER = struct.Struct("<8sIIQQQQQq")
@@ -175,15 +176,16 @@ class ShardReader:
                 yield names[k], ends[k], run[ends[k] - ends[0] : ends[k + 1] - ends[0]]
 
 
-def write_token_ids(docs: DataFrame, out: str, tokenizer: str | None = None, end_id: int = 0, byte_level: bool = True) -> list[dict]:
+def write_token_ids(docs: DataFrame, out: str, tokenizer: str | None = None, end_id: int = 0, byte_level: bool = True, special_as_text: bool = False) -> list[dict]:
     """Write docs (doc_id, text) as shards below out; returns a manifest row for each shard with its first id's place."""
     path = tokenizer or tokenizer_file("byte_bpe_50k.json")
+    ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, end, writer = encoder(path, byte_level), end_id.to_bytes(4, "little"), None
+        encode, end, writer = encoder(path, byte_level, special_as_text), end_id.to_bytes(4, "little"), None
         shard, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         id_bytes = 2 if max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         for batch in batches:
@@ -225,6 +227,7 @@ def read_token_ids(spark: SparkSession, manifest: list[dict]) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
+    ship(spark)
     shards = spark.createDataFrame([(m["path"], m["start"]) for m in manifest], "path string, start long")
     return shards.repartition(max(1, len(manifest))).mapInArrow(run, "doc_id long, start long, ids binary")
 
