@@ -9,10 +9,13 @@ Parquet and reread as the next one's docs. All stages but the last return the co
 3. repeated_passages removes from texts what operator 4 finds repeated from earlier documents. Texts that lose all
    their words stay as empty ones.
 4. source_mix takes documents as operator 7 mixes their sources: repeated for whole passes, cut where a pass ends, left
-   out where the mix has no room. Empty texts have no words to take.
+   out where the mix has no room; in the order of its slots, each partition a range of slots. Empty texts have no words
+   to take.
 5. packed cuts the mix into sequences with operator 1, and returns their pieces with their token ids.
 
-A stage's result must have been written before the next stage begins: it then removes the tables it was made from.
+Each stage writes tables that its lazy result reads. run() removes them when the stage's rows are written. Called one by
+one, a stage removes what the latest call of the stage before it on the same sf_dir has left, so that result must have
+been written by then.
 
 Null and repeated doc_ids, null texts and empty tables are handled as the operators state: a document with a null
 doc_id, if it passes the rules, is in no component and stays. Each stage keeps other columns as they are.
@@ -23,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_row, load, made_tables, materialize, remove
+from millrace.llm.common import as_row, discard, load, materialize, recording, remove
 from millrace.llm.mixing import mix_documents
 from millrace.llm.ngram_join import join_components
 from millrace.llm.packing import pack
@@ -31,23 +34,6 @@ from millrace.llm.quality_rules import filter_documents
 from millrace.llm.substring_dedup import strip_repeats
 
 
-_left: list[str] = []  # tables of the stage before
-
-
-def _stage(function):
-    """The stage, which first removes the tables that the stage before made: by now its rows have been written."""
-
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        for path in _left:
-            remove(spark, path)
-        before = len(made_tables())
-        out = function(spark, docs, sf_dir)
-        _left[:] = made_tables()[before:]
-        return out
-
-    return run_stage
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return filter_documents(docs, load(spark, sf_dir, "labels"))
 
@@ -71,7 +57,24 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [(f.__name__, _stage(f)) for f in (quality_rules, near_copies, repeated_passages, source_mix, packed)]
+_FUNCTIONS = (quality_rules, near_copies, repeated_passages, source_mix, packed)
+_left: dict[tuple[str, str, int], list[str]] = {}  # by application, sf_dir and stage: tables of its latest call
+
+
+def _stage(number: int):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        for path in _left.pop((application, sf_dir, number - 1), []):
+            remove(spark, path)
+        with recording() as made:
+            out = _FUNCTIONS[number](spark, docs, sf_dir)
+        _left[application, sf_dir, number] = made
+        return out
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _stage(k)) for k, f in enumerate(_FUNCTIONS)]
 
 #: SQL has neither the tokenizer's ids nor the choice of cuts, so the rows are tested against brute-force versions.
 ORACLE_SQL = None
@@ -79,7 +82,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over documents."""
-    docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, before = load(spark, sf_dir, "documents"), None
+    for function in _FUNCTIONS:
+        with recording() as made:
+            out = function(spark, docs, sf_dir)
+        docs = materialize(out, f"pipeline-{function.__name__}")
+        for path in made:
+            remove(spark, path)
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
