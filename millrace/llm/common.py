@@ -148,7 +148,9 @@ def free_shuffles(spark: SparkSession) -> None:
     """Asks for a collection on the driver, after which Spark's cleaner drops the shuffle files of what has been written.
 
     Only disk space depends on it, and when it happens is up to the JVM; without it the files go with the application.
+    The scheduler holds on to its latest job, so a small one goes first.
     """
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 
 

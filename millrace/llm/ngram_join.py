@@ -393,12 +393,11 @@ def join_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int =
     reps = materialize(reps.select(F.col("doc_id").alias("doc"), "n_shingles", "digest", "band", "own_spare", "probe_spare").distinct(), "ngram-sets")
     # place: band, segment and whether it is indexed (1) or probes (0), in one number
     place = lambda band, bit: F.shiftleft(band.cast("long"), 40) + F.shiftleft(F.col("segment").cast("long"), 1) + bit
-    index = lambda *more: found.select("doc_id", "band", *more, F.posexplode("own").alias("segment", "sig")).where("sig is not null")
-    below = lambda *more: found.select("doc_id", "band", *more, F.posexplode("probe").alias("segment", "sig")).where("sig is not null")
-    # signatures with an indexed member and two unequal sets; partial aggregation keeps hot ones small
-    set_hash = F.xxhash64("digest").alias("set")
-    met = index(set_hash).select("sig", "set", F.lit(True).alias("own")).unionByName(below(set_hash).select("sig", "set", F.lit(False).alias("own")))
-    met = met.groupBy("sig").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.max("own").alias("own")).where("low < high and own").select("sig")
+    index = lambda: found.select("doc_id", "band", F.posexplode("own").alias("segment", "sig")).where("sig is not null")
+    below = lambda: found.select("doc_id", "band", F.posexplode("probe").alias("segment", "sig")).where("sig is not null")
+    # signatures of two rows or more, one of them indexed; partial aggregation keeps hot ones small
+    met = index().select("sig", F.lit(True).alias("own")).unionByName(below().select("sig", F.lit(False).alias("own")))
+    met = met.groupBy("sig").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 and own").select("sig")
     met = materialize(met, "ngram-met")
     free_shuffles(spark)
     posted = index().select("sig", F.col("doc_id").alias("doc"), place(F.col("band"), 1).alias("place")).unionByName(below().select("sig", F.col("doc_id").alias("doc"), place(F.col("band") - 1, 0).alias("place")))
