@@ -62,7 +62,10 @@ def _digits(v: Column) -> Column:
 
 def string_value(m: Column, keys: list[str]) -> Column:
     """First present: a string trimmed, a number as text, '' for anything else or nothing."""
-    v = first_present(m, keys)
+    return string_of(first_present(m, keys))
+
+
+def string_of(v: Column) -> Column:
     return F.coalesce(unicode_trim(raw_string(v)), _digits(v), F.lit(""))
 
 
@@ -83,23 +86,26 @@ def non_negative(m: Column, keys: list[str]) -> Column:
     return F.when(x >= 0, x)
 
 
+def items_of(v: Column) -> Column:
+    """Strings and numbers of an array, the parts of a string; null for anything else."""
+    texts = F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.coalesce(raw_string(x), _digits(x))), lambda s: s.isNotNull())
+    return F.when(kind(v).startswith("ARRAY"), texts).when(kind(v) == "STRING", F.split(raw_string(v), "[,;]", -1))
+
+
+def first_items(found: list[Column]) -> Column:
+    """Lower-cased, trimmed, sorted distinct items of the first list that has any."""
+    raw = F.coalesce(*[F.when(F.size(x) > 0, x) for x in found], F.array().cast("array<string>"))
+    clean = F.transform(raw, lambda s: ascii_lower(unicode_trim(s)))
+    return F.array_sort(F.array_distinct(F.filter(clean, lambda s: s != "")))
+
+
 def list_value(m: Column, keys: list[str]) -> Column:
     """Lower-cased, trimmed, sorted distinct items of the first key that gives any.
 
     Arrays give their strings and numbers, strings are split at commas and semicolons. A key counts as giving items
     before they are trimmed, so an empty string ends the search.
     """
-
-    def items(key: str) -> Column:
-        v = at(m, key)
-        array = F.try_variant_get(v, "$", "array<variant>")
-        texts = F.filter(F.transform(array, lambda x: F.coalesce(raw_string(x), _digits(x))), lambda s: s.isNotNull())
-        return F.when(kind(v).startswith("ARRAY"), texts).when(kind(v) == "STRING", F.split(raw_string(v), "[,;]", -1))
-
-    found = [F.when(F.size(items(k)) > 0, items(k)) for k in keys]
-    raw = F.coalesce(*found, F.array().cast("array<string>"))
-    clean = F.transform(raw, lambda s: ascii_lower(unicode_trim(s)))
-    return F.array_sort(F.array_distinct(F.filter(clean, lambda s: s != "")))
+    return first_items([items_of(at(m, k)) for k in keys])
 
 
 def without_prefix(countries: Column) -> Column:

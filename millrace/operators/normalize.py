@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.predicates import valid_barcode
 from millrace.functions.text import LIST_SEPARATOR, ascii_lower, to_epoch, unicode_trim
-from millrace.functions.variant import as_map, at, first_present, kind, list_value, non_negative, number_of, number_value, present, raw_string, string_value, without_prefix
+from millrace.functions.variant import as_map, at, first_items, first_present, items_of, kind, number_of, present, raw_string, string_of, without_prefix
 
 SOURCE = "openfoodfacts"  # fixed value of the source column
 MAX_LIST = 256
@@ -81,55 +81,86 @@ def rejection_shape(m: Column) -> Column:
     )
 
 
-def _aggregated(name: str) -> tuple[Column, Column]:
-    """Value and unit of a nutrient of the aggregated set; value is null where it doesn't apply."""
-    nutrient = as_map(at(F.col("_nutrients"), name))
-    value = F.when(F.col("_usable"), non_negative(nutrient, ["value", "value_computed"]))
-    return value, F.coalesce(raw_string(at(nutrient, "unit")), F.lit(""))
+class _Steps:
+    """Columns that later steps build on, by step: picked values, then what they are as texts, numbers and lists."""
+
+    def __init__(self):
+        self.picked: dict[str, Column] = {}
+        self.typed: dict[str, Column] = {}
+
+    def pick(self, m: Column, keys: list[str]) -> Column:
+        self.picked[name := f"_v{len(self.picked)}"] = first_present(m, keys)
+        return F.col(name)
+
+    def type(self, value: Column) -> Column:
+        self.typed[name := f"_t{len(self.typed)}"] = value
+        return F.col(name)
+
+    def string(self, m: Column, *keys: str) -> Column:
+        return self.type(string_of(self.pick(m, list(keys))))
+
+    def text(self, m: Column, key: str) -> Column:
+        return self.type(raw_string(self.pick(m, [key])))
+
+    def amount(self, m: Column, *keys: str) -> Column:
+        """First present, null if it is negative."""
+        x = self.type(number_of(self.pick(m, list(keys))))
+        return F.when(x >= 0, x)
+
+    def items(self, m: Column, *keys: str) -> Column:
+        return first_items([self.type(items_of(self.pick(m, [k]))) for k in keys])
+
+    def aggregated(self, name: str) -> tuple[Column, Column]:
+        """Value and unit of a nutrient of the aggregated set; value is null where it doesn't apply."""
+        nutrient = F.col(f"_a_{name}")
+        return F.when(F.col("_usable"), self.amount(nutrient, "value", "value_computed")), F.coalesce(self.text(nutrient, "unit"), F.lit(""))
 
 
 def normalize(objects: DataFrame, source: str = SOURCE) -> DataFrame:
     """objects (object: map<string, variant>, other columns) to other columns, the product's columns and skip_reason.
 
-    Steps are projections of their own: the object is taken apart once, and only plain columns leave this operator.
+    Steps are projections of their own: values are picked from the object once, then typed once, and only plain columns
+    leave this operator. The keys below, and the order in which they are tried, are fixed values.
     """
     m = F.col("object")
     keep = [c for c in objects.columns if c != "object"]
-    aggregate = as_map(at(as_map(at(m, "nutrition")), "aggregated_set"))
-    facts = F.when(present(m, "nutriments"), as_map(at(m, "nutriments"))).otherwise(m)
-    one = objects.withColumn("_facts", facts).withColumn("_set", aggregate)
-    one = one.withColumn("_nutrients", as_map(at(F.col("_set"), "nutrients"))).withColumn("_per", raw_string(at(F.col("_set"), "per")))
-    one = one.withColumn("_legacy", legacy_basis(raw_string(at(m, "nutrition_data_per")), raw_string(at(m, "serving_quantity_unit"))))
-    one = one.withColumn("_usable", basis_of(F.col("_per")).isNotNull() & F.coalesce(F.col("_legacy") == basis_of(F.col("_per")), F.lit(True)))
-    f = F.col("_facts")
-    kcal, kcal_unit = _aggregated("energy-kcal")
-    (kj, kj_unit), (energy, energy_unit) = _aggregated("energy-kj"), _aggregated("energy")
+    one = objects.withColumns({"_facts": F.when(present(m, "nutriments"), as_map(at(m, "nutriments"))).otherwise(m), "_set": as_map(at(as_map(at(m, "nutrition")), "aggregated_set"))})
+    one = one.withColumns({"_nutrients": as_map(at(F.col("_set"), "nutrients")), "_per": raw_string(at(F.col("_set"), "per"))})
+    names = ["energy-kcal", "energy-kj", "energy", *[name for _, name in NUTRIENTS.values()]]
+    one = one.withColumns({f"_a_{name}": as_map(at(F.col("_nutrients"), name)) for name in names})
+    f, steps = F.col("_facts"), _Steps()
+    legacy = steps.type(legacy_basis(raw_string(steps.pick(m, ["nutrition_data_per"])), raw_string(steps.pick(m, ["serving_quantity_unit"]))))
+    kcal, kcal_unit = steps.aggregated("energy-kcal")
+    (kj, kj_unit), (energy, energy_unit) = steps.aggregated("energy-kj"), steps.aggregated("energy")
     some_kj, some_unit = F.coalesce(kj, energy), F.when(kj.isNotNull(), kj_unit).otherwise(energy_unit)
     columns = {
-        "barcode": string_value(m, ["code", "barcode", "_id"]),
-        "_name": string_value(m, ["product_name", "product_name_en", "product_name:en", "name"]),
-        "brand": string_value(m, ["brands", "brand_owner", "brand"]),
-        "generic_name": string_value(m, ["generic_name", "generic_name_en"]),
-        "category_tags": list_value(m, ["categories_tags", "categories_hierarchy"]),
+        "barcode": steps.string(m, "code", "barcode", "_id"),
+        "_name": steps.string(m, "product_name", "product_name_en", "product_name:en", "name"),
+        "brand": steps.string(m, "brands", "brand_owner", "brand"),
+        "generic_name": steps.string(m, "generic_name", "generic_name_en"),
+        "category_tags": steps.items(m, "categories_tags", "categories_hierarchy"),
         "energy_kcal_100g": F.coalesce(
-            non_negative(f, ["energy-kcal_100g", "energy-kcal_value", "energy-kcal"]),
-            non_negative(f, ["energy-kj_100g", "energy-kj"]) / KJ_PER_KCAL,
-            non_negative(f, ["energy-kcal_prepared_100g", "energy-kcal_prepared_value", "energy-kcal_prepared"]),
-            non_negative(f, ["energy-kj_prepared_100g", "energy-kj_prepared"]) / KJ_PER_KCAL,
+            steps.amount(f, "energy-kcal_100g", "energy-kcal_value", "energy-kcal"),
+            steps.amount(f, "energy-kj_100g", "energy-kj") / KJ_PER_KCAL,
+            steps.amount(f, "energy-kcal_prepared_100g", "energy-kcal_prepared_value", "energy-kcal_prepared"),
+            steps.amount(f, "energy-kj_prepared_100g", "energy-kj_prepared") / KJ_PER_KCAL,
             kilocalories(kcal, kcal_unit, some_kj, some_unit),
         ),
-        **{c: F.coalesce(*[non_negative(f, g) for g in groups], grams(*_aggregated(name))) for c, (groups, name) in NUTRIENTS.items()},
-        "nutrition_basis_unit": F.coalesce("_legacy", basis_of(F.col("_per")), F.lit("")),
-        "serving_size": string_value(m, ["serving_size", "serving_size_en"]),
-        "serving_quantity": non_negative(m, ["serving_quantity", "serving_quantity_value"]),
-        "quantity": string_value(m, ["quantity"]),
-        "countries": without_prefix(list_value(m, ["countries_tags", "countries"])),
-        "languages": list_value(m, ["languages_codes", "languages"]),
-        "image_url": string_value(m, ["image_front_url", "image_front_small_url"]),
-        "_off": string_value(m, ["_id", "id", "code"]),
-        "off_last_modified": to_epoch(number_value(m, ["last_modified_t", "last_modified"])),
+        **{c: F.coalesce(*[steps.amount(f, *g) for g in groups], grams(*steps.aggregated(name))) for c, (groups, name) in NUTRIENTS.items()},
+        "nutrition_basis_unit": F.coalesce(legacy, basis_of(F.col("_per")), F.lit("")),
+        "serving_size": steps.string(m, "serving_size", "serving_size_en"),
+        "serving_quantity": steps.amount(m, "serving_quantity", "serving_quantity_value"),
+        "quantity": steps.string(m, "quantity"),
+        "countries": without_prefix(steps.items(m, "countries_tags", "countries")),
+        "languages": steps.items(m, "languages_codes", "languages"),
+        "image_url": steps.string(m, "image_front_url", "image_front_small_url"),
+        "_off": steps.string(m, "_id", "id", "code"),
+        "off_last_modified": to_epoch(steps.type(number_of(steps.pick(m, ["last_modified_t", "last_modified"])))),
     }
-    two = one.select(*keep, *[v.alias(k) for k, v in columns.items()])
+    picked = one.select(*keep, "_per", *[v.alias(k) for k, v in steps.picked.items()])
+    typed = picked.select(*keep, "_per", *[v.alias(k) for k, v in steps.typed.items()])
+    usable = basis_of(F.col("_per")).isNotNull() & F.coalesce(legacy == basis_of(F.col("_per")), F.lit(True))
+    two = typed.withColumn("_usable", usable).select(*keep, *[v.alias(k) for k, v in columns.items()])
     own = F.when(F.col("_off") == "", F.col("barcode")).otherwise(F.col("_off"))
     name = F.when(F.col("_name") == "", F.col("generic_name")).otherwise(F.col("_name"))
     three = two.withColumn("name", name).withColumn("off_product_id", own).withColumn("product_id", own).withColumn("source", F.lit(source))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.variant import as_map, at, kind, parse_object, present, raw_string
 
+#: A word with an equals sign that is not the first on its line: key and value.
+WORD = "(?<= )([^ =]*)=([^ ]*)"
 PROGRESS_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 #: The keys that each level of a heartbeat may have.
 TOP = ["runId", "runAttempt", "timestamp", "state", "phase", "counters", "resources", "exitCode"]
@@ -23,12 +26,10 @@ NAME, TIMESTAMP, STATE = r"^[A-Za-z0-9_.-]+\z", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0
 
 def progress_fields(line: Column, prefix: str) -> Column:
     """key=value words after the prefix as a map of texts; the last of equal keys counts. Other lines give an empty map."""
-    words = F.filter(F.split(line, " "), lambda w: w != "")
-    pairs = F.filter(F.slice(words, F.lit(2), F.size(words)), lambda w: w.contains("="))
-    entries = F.transform(pairs, lambda w: F.struct(F.substring_index(w, "=", 1).alias("key"), F.substr(w, F.instr(w, "=") + 1).alias("value")))
-    # an entry counts if no later one has its key
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(F.when(line.startswith(prefix), last).otherwise(F.array().cast("array<struct<key:string,value:string>>")))
+    keys, values = (F.reverse(F.regexp_extract_all(line, F.lit(WORD), F.lit(g))) for g in (1, 2))
+    names = F.array_distinct(keys)  # reversed, so that the first of equal keys is the last written
+    found = F.map_from_arrays(names, F.transform(names, lambda k: F.get(values, F.array_position(keys, k).cast("int") - 1)))
+    return F.when(line.startswith(prefix), found).otherwise(F.create_map().cast("map<string,string>"))
 
 
 def progress_number(fields: Column, key: str) -> Column:
@@ -78,15 +79,22 @@ def _process(v: Column) -> Column:
 
 def heartbeat_valid(line: Column) -> Column:
     """Whether a JSON text is a heartbeat: known keys alone at each level, each of its type and pattern."""
-    m = as_map(parse_object(line))
-    counters, resources = as_map(at(m, "counters")), as_map(at(m, "resources"))
     share = lambda v: F.coalesce(raw_string(v).rlike(r"^[0-9]+/[0-9]+\z"), F.lit(False))
     counter = lambda e: (e["key"] == "phase") | ((e["key"] == "compressed_bytes") & share(e["value"])) | _number_or_null(e["value"])
     resource = lambda e: e["key"].isin("loadAverage", "processes") | _number_or_null(e["value"])
-    processes = F.try_variant_get(at(resources, "processes"), "$", "array<variant>")
-    parts = [
-        _closed(m, TOP), _text(m, "runId", NAME), _text(m, "runAttempt", NAME), _text(m, "timestamp", TIMESTAMP), _text(m, "state", STATE), _text(m, "phase", most=64),
-        _closed(counters, COUNTERS), F.forall(F.map_entries(counters), counter), _closed(resources, RESOURCES), F.forall(F.map_entries(resources), resource),
-        ~present(resources, "processes") | (processes.isNotNull() & F.forall(processes, _process)), ~present(m, "exitCode") | _integer(at(m, "exitCode")),
-    ]
-    return F.coalesce(reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in parts]), F.lit(False))
+
+    def checks(m: Column, counters: Column, resources: Column) -> Column:
+        processes = F.try_variant_get(at(resources, "processes"), "$", "array<variant>")
+        parts = [
+            _closed(m, TOP), _text(m, "runId", NAME), _text(m, "runAttempt", NAME), _text(m, "timestamp", TIMESTAMP), _text(m, "state", STATE), _text(m, "phase", most=64),
+            _closed(counters, COUNTERS), F.forall(F.map_entries(counters), counter), _closed(resources, RESOURCES), F.forall(F.map_entries(resources), resource),
+            ~present(resources, "processes") | (processes.isNotNull() & F.forall(processes, _process)), ~present(m, "exitCode") | _integer(at(m, "exitCode")),
+        ]
+        return F.coalesce(reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in parts]), F.lit(False))
+
+    return _let(as_map(parse_object(line)), lambda m: _let(as_map(at(m, "counters")), lambda c: _let(as_map(at(m, "resources")), lambda r: checks(m, c, r))))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -6,17 +6,27 @@ so that a query and its oracle start from the same text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import io
+import tarfile
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import release
 from millrace.functions import predicates as P
 from millrace.functions import text as T
 from millrace.functions.variant import as_map, at, list_value, non_negative, number_value, parse_object, string_value, without_prefix
 from millrace.operators import dedupe, index, metrics, telemetry
 from millrace.operators import normalize as N
 from millrace.plans import raw
+from millrace.sources import jsonl
+from millrace.sources.files import list_files
+from millrace.streaming.progress import Progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +47,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt to all cores if a scan of one small file would leave most of them idle; large scans stay as they are."""
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder that driver and executors share, removed after use: below spark.checkpoint.dir, or a temporary one in local mode."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = f"{root or 'file://' + tempfile.mkdtemp(prefix='millrace-')}/plans-{uuid.uuid4().hex[:12]}"
+    try:
+        yield folder
+    finally:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as rows with a key, a rank and a canonical text."""
     rank = " + ".join(f"cast(({c}) as int)" for c in raw.RANK)
@@ -83,7 +112,7 @@ def reject_samples(spark, sf_dir):
 
 
 def _events(spark: SparkSession, sf_dir: str, line: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{line} as line")
+    rows = spread(table(spark, sf_dir, "events").selectExpr("event_id", f"{line} as line"))
     return rows.select("event_id", parse_object(F.col("line")).alias("value")).select("event_id", "value", as_map(F.col("value")).alias("m"))
 
 
@@ -178,7 +207,7 @@ def epoch_clamp(spark, sf_dir):
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """line_no, parsed, object of the derived product lines."""
-    lines = table(spark, sf_dir, "part").selectExpr("p_partkey as line_no", f"{raw.PRODUCT} as line")
+    lines = spread(table(spark, sf_dir, "part").selectExpr("p_partkey as line_no", f"{raw.PRODUCT} as line"))
     value = lines.select("line_no", parse_object(F.col("line")).alias("value"))
     return value.select("line_no", F.col("value").isNotNull().alias("parsed"), as_map(F.col("value")).alias("object"))
 
@@ -217,6 +246,37 @@ def ingest_counters(spark, sf_dir):
     return metrics.ingest_counters(rows.withColumn("skip_reason", F.when(F.col("parsed"), F.col("skip_reason"))))
 
 
+@query(f"""
+select count(*) as input_lines, sum(strlen({raw.PRODUCT}) + 1)::bigint as input_bytes, count(*) filter (p_partkey % 17 <> 0 and p_partkey % 19 <> 0) as raw_parsed,
+    count(*) filter (p_partkey % 17 = 0 or p_partkey % 19 = 0) as invalid_lines, count(*) filter (p_partkey % 17 <> 0 and p_partkey % 19 <> 0 and p_partkey % 23 <> 0) as objects from part""")
+def gzip_ingest_counts(spark, sf_dir):
+    """The product lines written as gzip JSON lines and read back through the source."""
+    with scratch(spark) as folder:
+        spread(table(spark, sf_dir, "part").selectExpr(f"{raw.PRODUCT} as value")).write.option("compression", "gzip").text(folder)
+        rows = jsonl.parse_lines(jsonl.read_lines(spark, folder))
+        counts = rows.agg(F.count("*").alias("input_lines"), F.sum("bytes").alias("input_bytes"), F.count_if("parsed").alias("raw_parsed"), F.count_if(~F.col("parsed")).alias("invalid_lines"), F.count_if(F.col("object").isNotNull()).alias("objects"))
+        return spark.createDataFrame(counts.collect(), counts.schema)  # one row
+
+
+@query(f"""
+with a as (select * from ({raw.NORMALIZED}) where parsed and skip_reason is null)
+select (select count(*) from part) as input_lines, (select count(*) from a) as accepted, (select count(distinct barcode) from a) as records, (select count(distinct barcode) from a) as verified, true as files_listed, true as archived""")
+def release_build(spark, sf_dir):
+    """A release of the product lines: built, verified against its manifest, listed, packaged and unpacked."""
+    with scratch(spark) as folder:
+        spread(table(spark, sf_dir, "part").selectExpr(f"{raw.PRODUCT} as value")).coalesce(1).write.option("compression", "gzip").text(f"{folder}/lines")  # a release reads one file
+        (written,) = [f.removeprefix("file://").replace("//", "/") for f in spark.read.text(f"{folder}/lines").inputFiles()]
+        local = folder.removeprefix("file://")
+        options = release.BuildOptions(written, f"{local}/release", "2026-01-17", artifact=f"{local}/release.tar.zst")
+        manifest = release.build_release(spark, options, Progress(output=io.StringIO()))
+        verified = release.verify_release(spark, f"{local}/release", Progress(output=io.StringIO()))["recordCount"]
+        listed = list_files(spark, f"{local}/release/{release.INDEX}").select("path", "bytes", "sha256").collect()  # a row for each file
+        with open(options.artifact, "rb") as raw_file, zstandard.ZstdDecompressor().stream_reader(raw_file) as plain, tarfile.open(fileobj=plain, mode="r|") as tar:
+            names = tar.getnames()
+        row = (manifest["inputLines"], manifest["acceptedProducts"], manifest["recordCount"], verified, [f["path"] for f in manifest["files"]] == [f["path"] for f in listed], names == [*(f["path"] for f in manifest["files"]), release.MANIFEST])
+        return spark.createDataFrame([row], "input_lines long, accepted long, records long, verified long, files_listed boolean, archived boolean")
+
+
 @query(f"""
 select barcode, name, rank from (select *, row_number() over (partition by barcode order by rank desc, line_no) as n
     from (select *, {raw.RANK_OF_PRODUCT} as rank from ({raw.NORMALIZED}) where parsed and skip_reason is null)) where n = 1""")
@@ -250,7 +310,7 @@ select l_orderkey, l_linenumber, case when per in ('100g', '100ml') and (legacy
 
 @query(_AGGREGATED)
 def aggregated_nutrients(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{raw.AGGREGATED} as line")
+    lines = spread(table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{raw.AGGREGATED} as line"))
     rows = lines.select("l_orderkey", "l_linenumber", as_map(parse_object(F.col("line"))).alias("object"))
     return N.normalize(rows).select("l_orderkey", "l_linenumber", "protein_100g", F.col("nutrition_basis_unit").alias("unit"))
 
@@ -370,7 +430,8 @@ with l as (select event_id, event_type, {_LINE} as line from events)
 select event_id, case when line like 'P%' then event_type end as phase, case when line like 'P%' then event_id::double end as records, case when line like 'P%' then -(event_id + 0.5)::double end as rate, case when line like 'P%' then event_id || '/9' end as bytes, case when line like 'P%' then 'a=b' end as eq,
     case when line like 'P%' then 5 else 0 end as fields from l""")
 def progress_parse(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", telemetry.progress_fields(F.expr(_LINE), "P").alias("f"))
+    lines = spread(table(spark, sf_dir, "events").select("event_id", F.expr(_LINE).alias("line")))
+    rows = lines.select("event_id", telemetry.progress_fields(F.col("line"), "P").alias("f"))
     text = lambda k: F.try_element_at("f", F.lit(k))
     return rows.select("event_id", text("phase").alias("phase"), telemetry.progress_number(F.col("f"), "records").alias("records"), telemetry.progress_number(F.col("f"), "rate").alias("rate"), text("bytes").alias("bytes"), text("eq").alias("eq"), F.size("f").alias("fields"))
 
@@ -389,7 +450,8 @@ def closed_schema_check(spark, sf_dir):
 
 @query("select event_id, event_id % 6 = 0 as valid from events")
 def heartbeat_checks(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", telemetry.heartbeat_valid(F.expr(raw.HEARTBEAT)).alias("valid"))
+    lines = spread(table(spark, sf_dir, "events").select("event_id", F.expr(raw.HEARTBEAT).alias("line")))
+    return lines.select("event_id", telemetry.heartbeat_valid(F.col("line")).alias("valid"))
 
 
 @query("select sha256(string_agg(path || ' ' || bytes, ',' order by path)) as listing, sum(bytes)::bigint as bytes from (select 'a/' || r_regionkey as path, strlen(r_name) as bytes from region)")
