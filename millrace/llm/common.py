@@ -285,7 +285,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_as_text
+        self.tokenizer.encode_special_tokens = True  # those that count are keys of their own
         self.byte_level, self.keep, self.keep_bytes = byte_level, keep, keep_bytes
         self.fixed: dict[bytes, bytes] = {self.BREAK: b""}
         self.special: dict[bytes, bytes] = {}  # token to key

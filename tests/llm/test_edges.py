@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -42,12 +43,20 @@ def none(docs):
 
 
 def ids(name, t, end):
-    tokenizer = common.Encoder(common.tokenizer_file(name), "byte" in name).tokenizer
-    return tokenizer.encode(t or "", add_special_tokens=False).ids + end
+    """By the library, with nothing configured."""
+    return library(name).encode(t or "", add_special_tokens=False).ids + end
+
+
+@lru_cache
+def library(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def test_encoders_equal_the_library():
-    odd = [t for _, t in TEXTS] + ["a  b", " a", "a ", "\n", "\n\nx", "a\tb", "a \nb", "\r\n", "tab\t.", "end.", "　a", "a  b", "A.B. c!", "İstanbul ǅ", "é a", "<|endoftext|> x", "\x1c", "Σ."]
+    odd = [t for _, t in TEXTS] + ["a  b", " a", "a ", "\n", "\n\nx", "a\tb", "a \nb", "\r\n", "tab\t.", "end.", "　a", "a  b", "A.B. c!", "İstanbul ǅ", "é a", "<|endoftext|> x", "a<|endoftext|>b\n<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "\x1c", "Σ."]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         e = common.Encoder(common.tokenizer_file(name), "byte" in name, keep=50)
         for _ in range(3):
@@ -249,6 +258,51 @@ def test_sources_are_spread(spark):
             assert abs(order[:n].count(s) - share[s] * n) < 6
 
 
+def test_mixed_rows_follow_the_schedule(spark):
+    """Sources mix in every stretch of the rows; with a step of 1 instead of the golden ratio's, one source would follow the other."""
+    docs = spark.createDataFrame([(i, "w " * 50, "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    rows = [r.source for r in mixing.mix_documents(docs, block_words=50).collect()]
+    share = {x: rows.count(x) / len(rows) for x in "abc"}
+    for n in range(20, len(rows) + 1):
+        assert all(abs(rows[:n].count(x) - share[x] * n) < 8 for x in "abc")
+    mixed, _ = mixing.mix(docs, block_words=50)
+    firsts = [r.source for r in mixed.where("first_slot is not null").orderBy("first_slot").collect()]
+    assert len(set(firsts[:12])) == 3
+
+
+def test_join_of_groups_without_a_star(spark):
+    """Chains of near copies whose smallest document is near none of the others."""
+    r, rows = random.Random(8), []
+    for g in range(12):
+        w = text(700 + g, 80).split()
+        far = w[:40] + text(900 + g, 40).split()
+        near = [list(w) for _ in range(4)]
+        for k, copy in enumerate(near):
+            copy[r.randrange(80)] = f"edit{g}x{k}"
+        rows += [(10 * g + k, " ".join(x)) for k, x in enumerate([far, *near])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n, percent in ((3, 90), (5, 80), (1, 95)):
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join_components(frame, n, percent, block=3).collect()}
+        assert got == brute.components(rows, n, percent)
+
+
+def test_join_of_rows_that_share_a_doc_id(spark):
+    a, b = text(1, 60), text(2, 60)
+    rows = [(1, a), (2, a), (2, b), (3, b), (2, ""), (4, text(3, 60)), (4, text(3, 60))]
+    got = sorted((x.doc_id, x.component_id) for x in ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1), (2, 1), (2, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+
+
+def test_very_long_text(spark):
+    """Two million words: hashed in pieces, and alike in its parts."""
+    words = [f"w{i % 70_001}" for i in range(2_000_000)]
+    raw = " ".join(words).encode()
+    hashes = common.word_hashes(raw)
+    assert len(hashes) == len(words) and (hashes[:70_001] == hashes[70_001:140_002]).all() and len(np.unique(hashes)) == 70_001
+    assert (substring_dedup.run_hashes(np.concatenate([hashes, hashes[:400_000]]), 25)[: len(hashes) - 24] == substring_dedup.run_hashes(hashes, 25)).all()
+    assert common.word_hashes(b"x" * 3_000_000).tolist() == common.word_hashes(b" " + b"x" * 3_000_000 + b"\n").tolist()
+
+
 def test_licences(spark, none):
     mit = license_scan.KNOWN["MIT"]
     rows = [(1, mit), (2, "Copyright (c) 2020 Me\n\n" + mit.upper().replace(" ", "  ").replace(",", " -- ")), (3, mit + " more"), (4, None), (5, ""), (6, "Copyright 2000 X"), (7, license_scan.KNOWN["ISC"].replace("license", "licence")), (None, mit), (8, mit.replace("MERCHANTABILITY", "MERCHANTIBILITY"))]

@@ -30,7 +30,6 @@ def encode(docs, name, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return {d: t.encode(x or "", add_special_tokens=False).ids + end for d, x in docs}
 
 
