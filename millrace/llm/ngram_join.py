@@ -308,28 +308,55 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blks") - 1)))
     sized = sized.withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("other", "blks")
 
-    def run(key, frame):
+    def compared(g: dict, begin: int, end: int):
+        """The pairs in the rows begin to end, which are one pair of blocks."""
         import numpy as np
-        import pandas as pd
-
-        x, y = key[1], key[2]
-        sums = np.stack([np.frombuffer(s, np.uint8) for s in frame.sums])
-        doc, own, comp, size = frame.doc.to_numpy(), frame.own.to_numpy(), frame.component.to_numpy(), frame.n_shingles.to_numpy()
-        side, rows = frame.blk.to_numpy(), []
-        others = np.flatnonzero(side == y)
-        for i in np.flatnonzero(side == x):
-            js = others[others > i] if x == y else others
-            js = js[(comp[js] != comp[i]) & (own[js] | own[i])]
-            if not len(js):
-                continue
-            small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-            js = js[small * 100 >= percent * large]
-            unequal = sums[js] != sums[i]
-            ok = unequal.sum(axis=1) <= (size[js] + size[i]) * (100 - percent) // (100 + percent)
-            rows += [(min(doc[i], doc[j]), max(doc[i], doc[j])) for j in js[ok]]
-        return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
-
-    return sized.groupBy("sig", "x", "y").applyInPandas(run, "a long, b long")
+
+        side, doc, own, comp, size = (g[c][begin:end] for c in ("blk", "doc", "own", "component", "n_shingles"))
+        here, there = np.flatnonzero(side == g["x"][begin]), np.flatnonzero(side == g["y"][begin])
+        i, j = np.repeat(here, len(there)), np.tile(there, len(here))
+        ok = (comp[i] != comp[j]) & (own[i] | own[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+        if g["x"][begin] == g["y"][begin]:
+            ok &= i < j
+        i, j = i[ok], j[ok]
+        if not len(i):
+            return None
+        sums = np.frombuffer(b"".join(g["sums"][begin:end].to_pylist()), np.uint8).reshape(end - begin, -1)
+        step, near = max(1, (1 << 24) // sums.shape[1]), np.zeros(len(i), bool)
+        for k in range(0, len(i), step):
+            p, q = i[k : k + step], j[k : k + step]
+            near[k : k + step] = np.count_nonzero(sums[p] != sums[q], axis=1) <= (size[p] + size[q]) * (100 - percent) // (100 + percent)
+        p, q = doc[i[near]], doc[j[near]]
+        return np.minimum(p, q), np.maximum(p, q)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def listed(batch, last: bool):
+            """The pairs of the batch's blocks, and the rows of its last ones, which may go on in the next batch."""
+            g = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "x", "y", "width", "blk", "doc", "own", "component", "n_shingles")} | {"sums": batch.column("sums")}
+            new = np.zeros(batch.num_rows, bool)
+            for c in ("sig", "x", "y", "width"):
+                new[1:] |= g[c][1:] != g[c][:-1]
+            bounds = [0, *np.flatnonzero(new).tolist(), *[batch.num_rows] * last]
+            found = [f for f in (compared(g, p, q) for p, q in zip(bounds, bounds[1:])) if f]
+            columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(2)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"]), batch.slice(bounds[-1])
+
+        rest = None
+        for batch in batches:
+            if rest is not None and rest.num_rows:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            pairs, rest = listed(batch, False)
+            yield pairs
+        if rest is not None and rest.num_rows:
+            yield listed(rest, True)[0]
+
+    # halves of another number belong to another band, whose signature is equal by chance
+    key = ["sig", "x", "y", "width"]
+    sized = sized.withColumn("width", F.length("sums")).select(*key, "blk", "doc", "own", "component", "n_shingles", "sums")
+    return sized.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
 
 
 # ---------------------------------------------------------------- groups

@@ -286,6 +286,27 @@ def test_join_of_groups_without_a_star(spark):
         assert got == brute.components(rows, n, percent)
 
 
+def test_block_pairs_of_groups_cut_by_batches(spark):
+    """Groups longer and shorter than a batch, and one whose signature two bands have by chance."""
+    r = random.Random(12)
+    rows = [(sig, n, 100 * sig + k, r.random() < 0.7, r.randrange(4), r.choice((20, 21, 40)), bytes(r.randrange(3) for _ in range(6))) for sig, n in enumerate((2, 3, 40, 5, 1, 17)) for k in range(n)]
+    rows.append((3, 5, 900, True, 9, 20, bytes(8)))
+    want = set()
+    for s, _, a, own, c, size, x in rows:
+        for t, _, b, other, d, large, y in rows:
+            if s == t and a < b and c != d and (own or other) and len(x) == len(y) and 100 * min(size, large) >= 80 * max(size, large):
+                if sum(p != q for p, q in zip(x, y)) <= (size + large) * 20 // 180:
+                    want.add((a, b))
+    frame = spark.createDataFrame(rows, "sig long, n long, doc long, own boolean, component long, n_shingles long, sums binary").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        for block in (2, 7, 512):
+            got = [(p.a, p.b) for p in ngram_join._block_pairs(frame, 80, block).collect()]
+            assert sorted(got) == sorted(want) and len(want) > 50
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_join_of_rows_that_share_a_doc_id(spark):
     a, b = text(1, 60), text(2, 60)
     rows = [(1, a), (2, a), (2, b), (3, b), (2, ""), (4, text(3, 60)), (4, text(3, 60))]
