@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import atexit
 import gc
+import json
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 import re
 import tempfile
 import uuid
@@ -21,13 +24,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 _BYTE_CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-_MARKS = frozenset(b".,;:!?")
+_SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_MOST_SYMBOLS = 8
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _WIDE_GAPS = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c")
 #: White space that is not ASCII: with it in a text, byte-level pieces do not end where ASCII white space starts.
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+#: Text of these characters alone is in normal form C, as none of them combines with another.
+_LATIN = re.compile("[\x00-\u024f]*")
+#: A normalizer that leaves the ids of such a text alone if it is in lower case (white space gives no ids).
+_FOLDING = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
 def word_array(text: Column) -> Column:
     """The words of a text as array<string>; null and blank texts give an empty array."""
     parts = F.split(F.coalesce(text, F.lit("")), GAP)
@@ -269,6 +279,7 @@ class Encoder:
     Word-level vocabularies are taken to ignore the case of A-Z.
     Special tokens that a text spells out get their own ids, as the library gives them, and part the text around them;
     with ``special_as_text`` they are ordinary text.
+    New chunks that are lower-case Latin text skip a normalizer that would not change them.
     At most ``keep`` chunks of at most ``keep_bytes`` are remembered.
 
     Byte-level keys stand for " " + key, for key itself if it starts with a line feed, and for the rest after FIRST.
@@ -278,7 +289,7 @@ class Encoder:
     BREAK = b"\xfe"  # a key without ids, for places between words
     SPECIAL = b"\xfd"  # begins the key of a special token
 
-    def __init__(self, path: str, byte_level: bool, keep: int = 1_600_000, keep_bytes: int = 64, special_as_text: bool = False):
+    def __init__(self, path: str, byte_level: bool, keep: int = 1_300_000, keep_bytes: int = 64, special_as_text: bool = False):
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -286,6 +297,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # those that count are keys of their own
+        self.tokenizer.model._resize_cache(0)  # chunks come here once
+        self.bare = self.tokenizer
+        if self.tokenizer.normalizer and json.loads(self.tokenizer.normalizer.__getstate__()).get("normalizers") == _FOLDING:
+            self.bare = Tokenizer.from_file(path)
+            self.bare.encode_special_tokens = True
+            self.bare.model._resize_cache(0)
+            self.bare.normalizer = None
         self.byte_level, self.keep, self.keep_bytes = byte_level, keep, keep_bytes
         self.fixed: dict[bytes, bytes] = {self.BREAK: b""}
         self.special: dict[bytes, bytes] = {}  # token to key
@@ -299,7 +317,7 @@ class Encoder:
         found = sorted(self.special, key=len, reverse=True)
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, found)) + b")")
         self.known: dict[bytes, bytes] = dict(self.fixed)
-        self.marks: dict[int, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters of a token stand for bytes
         for token, i in vocabulary.items():
@@ -348,26 +366,26 @@ class Encoder:
         for k, e in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             self.known[k] = np.array(e.ids, dtype="<u4").tobytes()
 
-    def _joined(self, groups: list[list[bytes]]) -> None:
+    def _joined(self, groups: list[list[bytes]], tokenizer) -> None:
         import numpy as np
 
         if self.byte_level:
             texts = [b"".join(map(self._text, g)) for g in groups]
         else:
             texts = [b" ".join(g) for g in groups]
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        for keys, e in zip(groups, found, strict=True):
+        found = tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        for keys, text, e in zip(groups, texts, found, strict=True):
             ids = np.array(e.ids, dtype="<u4")
             at = np.cumsum(self.width[ids])
+            ends = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)))
             if self.byte_level:
-                ends = np.cumsum([len(k) + (k[0] != 10) for k in keys])
-            else:
+                ends += np.cumsum([k[0] != 10 for k in keys])
+            elif not text.isascii():
                 ends = np.cumsum([len(k) if k.isascii() else len(k.decode().lower().encode()) for k in keys])
             cut = np.searchsorted(at, ends)
             if len(at) and at[-1] == ends[-1] and (at[np.minimum(cut, len(at) - 1)] == ends).all():
                 raw, stops = ids.tobytes(), ((cut + 1) * 4).tolist()
-                for k, a, b in zip(keys, [0, *stops], stops):
-                    self.known[k] = raw[a:b]
+                self.known.update(zip(keys, [raw[a:b] for a, b in zip([0, *stops], stops)]))
             else:
                 self._alone(keys)
 
@@ -375,32 +393,47 @@ class Encoder:
         """Makes the ids of all these keys known; returns those to forget after use."""
         if len(self.known) > self.keep:
             self.known = dict(self.fixed)
-        long = [k for k in missing if len(k) > self.keep_bytes or k[:1] == self.FIRST]
-        short = missing.difference(long)
-        # a letter and the mark after it never share a piece: "word." is "word" and "."
-        ended = [k for k in short if k[-1] in _MARKS and len(k) > 1 and k[-2] in _LETTERS]
-        short.difference_update(ended)
-        new = [k for k in short.union([k[:-1] for k in ended]) if k not in self.known]
-        groups = [new[a : a + 128] for a in range(0, len(new), 128)]
-        for a in range(0, len(groups), 16):
-            self._joined(groups[a : a + 16])
-        for k in ended:
-            self.known[k] = self.known[k[:-1]] + self.mark(k[-1])
+            self.marks = {}
+        long, ended, short = [], [], set()
+        for k in missing:
+            if len(k) > self.keep_bytes or k[:1] == self.FIRST:
+                long.append(k)
+                continue
+            stem = k.rstrip(_SYMBOLS)
+            # a letter and the symbols after it never share a piece: "word..." is "word" and "..."
+            if 0 < len(k) - len(stem) <= _MOST_SYMBOLS and stem and stem[-1] in _LETTERS:
+                ended.append((k, stem))
+                short.add(stem)
+            else:
+                short.add(k)
+        ascii, other = [], []
+        for k in short:
+            if k not in self.known:
+                (ascii if k.isascii() else other).append(k)
+        for new in (ascii, other):
+            groups = [new[a : a + 128] for a in range(0, len(new), 128)]
+            for a in range(0, len(groups), 16):
+                some = groups[a : a + 16]
+                text = b"" if new is ascii else b"".join(map(b"".join, some)).decode()
+                latin = new is ascii or (_LATIN.fullmatch(text) and text == text.lower())
+                self._joined(some, self.bare if latin else self.tokenizer)
+        for k, stem in ended:
+            self.known[k] = self.known[stem] + self.mark(k[len(stem) :])
         for a in range(0, len(long), 256):
             self._alone(long[a : a + 256])
         return long
 
-    def mark(self, byte: int) -> bytes:
-        if byte not in self.marks:
+    def mark(self, symbols: bytes) -> bytes:
+        if symbols not in self.marks:
             import numpy as np
 
-            self.marks[byte] = np.array(self.tokenizer.encode(chr(byte), add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return self.marks[byte]
+            self.marks[symbols] = np.array(self.tokenizer.encode(symbols.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.marks[symbols]
 
     def encode(self, lists: list[list[bytes]]) -> list[list[bytes]]:
         """Per list of keys: the ids of each key as little-endian unsigned 32-bit integers."""
         out = [list(map(self.known.get, x)) for x in lists]
-        holes = [(x, e, [i for i, v in enumerate(e) if v is None]) for x, e in zip(lists, out) if None in e]
+        holes = [(x, e, list(compress(range(len(e)), map(is_, e, repeat(None))))) for x, e in zip(lists, out) if None in e]
         spare = self._learn({x[i] for x, _, at in holes for i in at})
         get = self.known.get
         for x, e, at in holes:

@@ -82,6 +82,16 @@ def plan_windows(position: list[int], penalty: list[int], window: int = 2048, se
     return cuts[::-1]
 
 
+def _lengths(ids: list[bytes]):
+    """Bytes of each, as an array."""
+    import numpy as np
+
+    try:
+        return np.frombuffer(bytes(list(map(len, ids))), np.uint8)
+    except ValueError:  # one of 256 bytes or more
+        return np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 class _Block:
     """Whole documents in order, with their candidate cuts."""
 
@@ -172,8 +182,10 @@ def pack(
                 texts = part.column(1).cast(pa.binary()).to_pylist()
                 words = [encode.lowered(t or b"").replace(b"\n", line_end).split() for t in texts]
                 for doc_id, own, ids in zip(part.column(0).to_pylist(), words, encode.encode(words)):
-                    places = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[sentence_ends(own)] // 4
-                    block.add(doc_id, b"".join(ids) + end, np.unique(places))
+                    places = np.cumsum(_lengths(ids), dtype=np.int64)[sentence_ends(own)] >> 2
+                    if len(places):
+                        places = places[np.append(True, places[1:] != places[:-1])]
+                    block.add(doc_id, b"".join(ids) + end, places)
                     if block.tokens >= block_tokens:
                         yield flush()
         if block.docs:
