@@ -57,6 +57,8 @@ def library(name):
 
 def test_encoders_equal_the_library():
     odd = [t for _, t in TEXTS] + ["a  b", " a", "a ", "\n", "\n\nx", "a\tb", "a \nb", "\r\n", "tab\t.", "end.", "　a", "a  b", "A.B. c!", "İstanbul ǅ", "é a", "<|endoftext|> x", "a<|endoftext|>b\n<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "\x1c", "Σ."]
+    odd += ["word!!! a$$$ é*** 9%%% a_ a'! it's' x" + "!" * 20, "ŉ ǅ ß ẞ ﬁ!!", "e\u0301lan E\u0301 ÉLAN élan!!", "a<|ENDOFTEXT|>!!"]
+    odd += ["".join(random.Random(i).choices("ab zé\u0301ÉİſΣ'!$_9<|>\n\t \u2003", k=1 + i % 60)) for i in range(500)]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         e = common.Encoder(common.tokenizer_file(name), "byte" in name, keep=50)
         for _ in range(3):

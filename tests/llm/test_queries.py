@@ -71,6 +71,12 @@ def test_op4(spark, docs):
     assert any(w[2] for w in want)
 
 
+def test_sql_equals_brute_force(docs):
+    c = duck("sf0.001")
+    assert sorted(c.sql(queries.OP4).fetchall()) == sorted((d, n, gone, brute.sha(kept)) for d, (n, gone, kept) in brute.strip(docs).items())
+    assert sorted(c.sql(queries.OP10).fetchall()) == sorted((d, n, c) for d, (n, c) in brute.components(docs).items())
+
+
 def test_op5(spark, docs):
     sizes = [len(x) for x in encode(docs, "byte_bpe_50k.json", []).values()]
     want = [(n, sizes.count(n), sum(s <= n for s in sizes), sum(s > n for s in sizes), sum(s for s in sizes if s <= n), sum(min(s, n) for s in sizes)) for n in sorted(set(sizes))]
