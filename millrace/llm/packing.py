@@ -105,22 +105,25 @@ class _Block:
     def tokens(self) -> int:
         return self.starts[-1]
 
-    def add(self, doc_id, ids: bytes, ends) -> None:
+    def add(self, doc_id, ids: bytes, ends: list[int]) -> None:
         """A document's ids with its end id, and the ascending places (in ids) where sentences end."""
-        import numpy as np
-
-        here, total = self.starts[-1], len(ids) // 4
-        cuts = np.append(ends[(ends > 0) & (ends < total - 1)], total)
-        gaps = np.diff(cuts, prepend=0)
-        penalty = np.full(len(cuts), self.sentence_penalty)
-        if (inner := (gaps - 1) // self.max_gap).any():
-            first = np.repeat(np.cumsum(inner) - inner, inner)
-            within = np.repeat(cuts - gaps, inner) + (np.arange(int(inner.sum())) - first + 1) * self.max_gap
-            order = np.argsort(cuts := np.concatenate([cuts, within]))
-            cuts, penalty = cuts[order], np.concatenate([penalty, np.full(len(within), self.inner_penalty)])[order]
-        penalty[-1] = 0
-        self.position += (cuts + here).tolist()
-        self.penalty += penalty.tolist()
+        here, total, before = self.starts[-1], len(ids) // 4, 0
+        position, penalty = [], []
+        for cut in ends:
+            if before < cut < total - 1:
+                if cut - before > self.max_gap:
+                    inner = range(before + self.max_gap, cut, self.max_gap)
+                    position += inner
+                    penalty += [self.inner_penalty] * len(inner)
+                position.append(cut)
+                penalty.append(self.sentence_penalty)
+                before = cut
+        inner = range(before + self.max_gap, total, self.max_gap)
+        position += [*inner, total]
+        penalty += [self.inner_penalty] * len(inner)
+        penalty.append(0)
+        self.position += [here + p for p in position]
+        self.penalty += penalty
         self.docs.append((doc_id, ids))
         self.starts.append(here + total)
 
@@ -183,9 +186,7 @@ def pack(
                 words = [encode.lowered(t or b"").replace(b"\n", line_end).split() for t in texts]
                 for doc_id, own, ids in zip(part.column(0).to_pylist(), words, encode.encode(words)):
                     places = np.cumsum(_lengths(ids), dtype=np.int64)[sentence_ends(own)] >> 2
-                    if len(places):
-                        places = places[np.append(True, places[1:] != places[:-1])]
-                    block.add(doc_id, b"".join(ids) + end, places)
+                    block.add(doc_id, b"".join(ids) + end, places.tolist())
                     if block.tokens >= block_tokens:
                         yield flush()
         if block.docs:
