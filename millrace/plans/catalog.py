@@ -395,8 +395,9 @@ def path_checks(spark, sf_dir):
 with f as (select 'index/part-' || lpad(cast(p_partkey as string), 6, '0') as path, strlen(p_name) as bytes, sha256(p_name) as sha256 from part)
 select sha256(string_agg(path || chr(0) || bytes || chr(0) || sha256 || chr(10), '' order by path)) as index_sha256, count(*) as files from f""")
 def files_checksum(spark, sf_dir):
-    files = table(spark, sf_dir, "part").select(F.concat(F.lit("index/part-"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("path"), F.octet_length("p_name").alias("bytes"), F.sha2("p_name", 256).alias("sha256"))
-    lines = dedupe.ordered(files, "path").select(F.concat_ws("\x00", "path", F.col("bytes").cast("string"), "sha256").alias("line"))
+    files = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("index/part-"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("path"), F.octet_length("p_name").alias("bytes"), F.sha2("p_name", 256).alias("sha256"))
+    # lpad cuts keys from 1,000,000 on, and several share a path: the SQL leaves their order open, here it is that of keys
+    lines = dedupe.ordered(files, "path", "p_partkey", "bytes", "sha256").select(F.concat_ws("\x00", "path", F.col("bytes").cast("string"), "sha256").alias("line"))
     lines.persist()
     try:
         return spark.createDataFrame([(metrics.stream_sha256(lines, "line"), lines.count())], "index_sha256 string, files long")
