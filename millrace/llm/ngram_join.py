@@ -17,8 +17,8 @@ one-deletion neighbours.
 
 Candidates. In a group of equal signatures every member is compared with the smallest one. Members that remain in
 different components are then compared in blocks of at most ``block`` members a side: pairs must have enough equal
-segments out of 2 m (each unequal one holds a difference; equal bytes prove nothing), and are listed in every group that
-they share. Survivors, each once and only these, are verified on their whole sets. What a component already joins needs no more comparing, so groups of
+segments out of 2 m (each unequal one holds a difference; equal bytes prove nothing), and are listed in the first
+group that they share, by the signatures themselves. Survivors, each once and only these, are verified on their whole sets. What a component already joins needs no more comparing, so groups of
 thousands of near copies cost links in proportion to their members. No candidate or partner is dropped.
 
 Null, empty and blank texts have empty sets and link with nothing. Rows with a null doc_id get a null component and
@@ -298,13 +298,42 @@ def _links(pairs: DataFrame, texts: DataFrame, digests: DataFrame, n: int, perce
     return links
 
 
+def _sharing(lists, p, q):
+    """Whether the lists (an Arrow array, no value twice in one) of rows p and q have a value in common, for each such pair."""
+    import numpy as np
+
+    ends, shared = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)), np.zeros(len(p), bool)
+    row = np.repeat(np.arange(len(lists)), np.diff(ends, prepend=0))
+    used = np.zeros(len(lists), bool)
+    used[p] = used[q] = True
+    row, values = row[used[row]], lists.flatten().to_numpy()[used[row]]
+    _, value, times = np.unique(values, return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1  # values of one row are left out
+    row, value = row[times[value] > 1], number[value[times[value] > 1]]
+    wide = max(8, (1 << 24) // len(lists))
+    for a in range(0, int((times > 1).sum()), wide):
+        now = (value >= a) & (value < a + wide)
+        bits = np.zeros((len(lists), min(wide, int(value.max()) + 1 - a)), bool)
+        bits[row[now], value[now] - a] = True
+        bits = np.packbits(bits, axis=1)
+        step = max(1, (1 << 24) // bits.shape[1])
+        for k in range(0, len(p), step):
+            shared[k : k + step] |= (bits[p[k : k + step]] & bits[q[k : k + step]]).any(axis=1)
+    return shared
+
+
 def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """Candidate pairs between components within groups of equal signatures, once for each group that a pair shares.
+    """Candidate pairs between components within groups of equal signatures, in the first group that a pair shares.
 
     members: sig, n (members of the group), doc, own, component, n_shingles and the bytes of its half segments in this band (sums).
+    All groups in which a pair is compared are of one band, where each of the two is a member by its own band or by the one
+    above: so a member takes along its lower signatures in that part, and a pair that shares one of them is listed there.
     """
+    of = members.groupBy("doc", "own", "component", "n_shingles", "sums").agg(F.array_sort(F.collect_set(F.struct("sig", "n"))).alias("groups"))
+    of = of.select("*", F.posexplode("groups").alias("at", "group")).withColumn("lower", F.slice("groups.sig", F.lit(1), F.col("at")))
+    of = of.select("group.sig", "group.n", "doc", "own", "component", "n_shingles", "sums", "lower")
     # blocks by hash, so that no task holds or ranks a whole group
-    sized = members.withColumn("blks", F.ceil(F.col("n") / F.lit(block)).cast("int")).withColumn("blk", F.pmod(F.xxhash64("doc"), F.col("blks")).cast("int"))
+    sized = of.withColumn("blks", F.ceil(F.col("n") / F.lit(block)).cast("int")).withColumn("blk", F.pmod(F.xxhash64("doc"), F.col("blks")).cast("int"))
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blks") - 1)))
     sized = sized.withColumn("x", F.least("blk", "other")).withColumn("y", F.greatest("blk", "other")).drop("other", "blks")
 
@@ -326,7 +355,11 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
         for k in range(0, len(i), step):
             p, q = i[k : k + step], j[k : k + step]
             near[k : k + step] = np.count_nonzero(sums[p] != sums[q], axis=1) <= (size[p] + size[q]) * (100 - percent) // (100 + percent)
-        p, q = doc[i[near]], doc[j[near]]
+        i, j = i[near], j[near]
+        if not len(i):
+            return None
+        first = ~_sharing(g["lower"][begin:end], i, j)
+        p, q = doc[i[first]], doc[j[first]]
         return np.minimum(p, q), np.maximum(p, q)
 
     def run(batches: Iterator) -> Iterator:
@@ -335,7 +368,7 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
 
         def listed(batch, last: bool):
             """The pairs of the batch's blocks, and the rows of its last ones, which may go on in the next batch."""
-            g = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "x", "y", "width", "blk", "doc", "own", "component", "n_shingles")} | {"sums": batch.column("sums")}
+            g = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "x", "y", "width", "blk", "doc", "own", "component", "n_shingles")} | {c: batch.column(c) for c in ("sums", "lower")}
             new = np.zeros(batch.num_rows, bool)
             for c in ("sig", "x", "y", "width"):
                 new[1:] |= g[c][1:] != g[c][:-1]
@@ -355,7 +388,7 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
 
     # halves of another number belong to another band, whose signature is equal by chance
     key = ["sig", "x", "y", "width"]
-    sized = sized.withColumn("width", F.length("sums")).select(*key, "blk", "doc", "own", "component", "n_shingles", "sums")
+    sized = sized.withColumn("width", F.length("sums")).select(*key, "blk", "doc", "own", "component", "n_shingles", "sums", "lower")
     return sized.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
 
 

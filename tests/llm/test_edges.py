@@ -309,6 +309,29 @@ def test_block_pairs_of_groups_cut_by_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_block_pairs_are_listed_in_one_group(spark):
+    """Members of two bands that share many groups: every pair once, also those that meet elsewhere as two that only probe."""
+    r = random.Random(13)
+    docs = [(d, r.randrange(6), r.choice((20, 21)) + 3 * (d % 2)) for d in range(60)]
+    halves = {(d, band): bytes(r.randrange(2) for _ in range(4 + 2 * band)) for d, _, _ in docs for band in range(3)}
+    rows = []
+    for sig in range(40):
+        band = sig % 2 + 1  # even doc_ids are of band 1 and probe band 0, odd ones are of band 2 and probe band 1
+        low = sig % 5 == 0
+        found = [(sig, d, d % 2 + 1 == band - low, c, size, halves[d, band - low]) for d, c, size in docs if r.random() < 0.5 and d % 2 + 1 - (band - low) in (0, 1)]
+        rows += [(sig, len(found), *x[1:]) for x in found]
+    want = set()
+    for s, _, a, own, c, size, x in rows:
+        for t, _, b, other, d, large, y in rows:
+            if s == t and a < b and c != d and (own or other) and 100 * min(size, large) >= 80 * max(size, large):
+                if sum(p != q for p, q in zip(x, y)) <= (size + large) * 20 // 180:
+                    want.add((a, b))
+    frame = spark.createDataFrame(rows, "sig long, n long, doc long, own boolean, component long, n_shingles long, sums binary").repartition(3)
+    for block in (7, 512):
+        got = [(p.a, p.b) for p in ngram_join._block_pairs(frame, 80, block).collect()]
+        assert sorted(got) == sorted(want) and len(want) > 500
+
+
 def test_join_of_rows_that_share_a_doc_id(spark):
     a, b = text(1, 60), text(2, 60)
     rows = [(1, a), (2, a), (2, b), (3, b), (2, ""), (4, text(3, 60)), (4, text(3, 60))]
