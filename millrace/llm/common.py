@@ -269,6 +269,16 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_AFTER_END = b"\"')]}"
+_LAST = bytes(1 if chr(c) in ".!?" else 2 if c in _AFTER_END else 0 for c in range(256))
+
+
+def ends_sentence(word: bytes) -> bool:
+    """Whether a word ends in . ! or ?, closing quotes or brackets aside."""
+    last = _LAST[word[-1]]
+    return last == 1 or last == 2 and word.rstrip(_AFTER_END)[-1:] in (b".", b"!", b"?")
+
+
 class Encoder:
     """Whole-text encoding through the tokenizers library, remembering the ids of each distinct chunk.
 
@@ -281,6 +291,7 @@ class Encoder:
     with ``special_as_text`` they are ordinary text.
     New chunks that are lower-case Latin text skip a normalizer that would not change them.
     At most ``keep`` chunks of at most ``keep_bytes`` are remembered.
+    With ``stops`` (word level) STOP follows the ids of words that end a sentence, and stands for a line break.
 
     Byte-level keys stand for " " + key, for key itself if it starts with a line feed, and for the rest after FIRST.
     """
@@ -288,8 +299,9 @@ class Encoder:
     FIRST = b"\xff"
     BREAK = b"\xfe"  # a key without ids, for places between words
     SPECIAL = b"\xfd"  # begins the key of a special token
+    STOP = b"\xff\xff\xff\xff"  # no id: follows the ids of keys that end a sentence, if these are asked for
 
-    def __init__(self, path: str, byte_level: bool, keep: int = 1_300_000, keep_bytes: int = 64, special_as_text: bool = False):
+    def __init__(self, path: str, byte_level: bool, keep: int = 1_300_000, keep_bytes: int = 64, special_as_text: bool = False, stops: bool = False):
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -305,7 +317,8 @@ class Encoder:
             self.bare.model._resize_cache(0)
             self.bare.normalizer = None
         self.byte_level, self.keep, self.keep_bytes = byte_level, keep, keep_bytes
-        self.fixed: dict[bytes, bytes] = {self.BREAK: b""}
+        self.stops = stops
+        self.fixed: dict[bytes, bytes] = {self.BREAK: self.STOP if stops else b""}
         self.special: dict[bytes, bytes] = {}  # token to key
         for i, token in self.tokenizer.get_added_tokens_decoder().items():
             if special_as_text and token.special:
@@ -421,6 +434,9 @@ class Encoder:
             self.known[k] = self.known[stem] + self.mark(k[len(stem) :])
         for a in range(0, len(long), 256):
             self._alone(long[a : a + 256])
+        if self.stops:  # stems that came along end in letters
+            for k in filter(ends_sentence, missing):
+                self.known[k] += self.STOP
         return long
 
     def mark(self, symbols: bytes) -> bytes:
@@ -448,15 +464,15 @@ class Encoder:
         return list(map(b"".join, self.encode([self.keys(t or b"") for t in texts])))
 
 
-_encoders: dict[tuple[str, bool, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, byte_level: bool, special_as_text: bool = False) -> Encoder:
+def encoder(path: str, byte_level: bool, special_as_text: bool = False, stops: bool = False) -> Encoder:
     """One encoder at a time in a Python worker."""
-    key = path, byte_level, special_as_text
+    key = path, byte_level, special_as_text, stops
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(path, byte_level, special_as_text=special_as_text)
+        _encoders[key] = Encoder(path, byte_level, special_as_text=special_as_text, stops=stops)
     return _encoders[key]
 
 

@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Encoder, encoder, load, ship, slices, tokenizer_file
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_KIND = bytes(1 if chr(c) in ".!?" or c == Encoder.BREAK[0] else 2 if chr(c) in "\"')]}" else 0 for c in range(256))
 
 
-def sentence_ends(words: list[bytes]) -> list[int]:
-    """Numbers of the words that end a sentence: those that end in . ! or ?, closing quotes or brackets aside, and line breaks."""
-    kind = _KIND
-    found = [i for i, w in enumerate(words) if kind[w[-1]]]
-    return [i for i in found if kind[words[i][-1]] == 1 or words[i].rstrip(b"\"')]}")[-1:] in (b".", b"!", b"?")]
+def without_stops(ids: bytes) -> tuple[bytes, list[int]]:
+    """A document's ids without the encoder's marks, and the ascending places (in ids) where sentences and lines end."""
+    import numpy as np
+
+    marked = np.frombuffer(ids, "<u4")
+    stop = marked == 0xFFFFFFFF
+    at = np.flatnonzero(stop)
+    return marked[~stop].tobytes(), (at - np.arange(len(at))).tolist()
 
 
 def plan_windows(position: list[int], penalty: list[int], window: int = 2048, sequence_cost: int = 32) -> list[int]:
@@ -82,16 +84,6 @@ def plan_windows(position: list[int], penalty: list[int], window: int = 2048, se
     return cuts[::-1]
 
 
-def _lengths(ids: list[bytes]):
-    """Bytes of each, as an array."""
-    import numpy as np
-
-    try:
-        return np.frombuffer(bytes(list(map(len, ids))), np.uint8)
-    except ValueError:  # one of 256 bytes or more
-        return np.fromiter(map(len, ids), np.int64, len(ids))
-
-
 class _Block:
     """Whole documents in order, with their candidate cuts."""
 
@@ -162,7 +154,6 @@ def pack(
     ship(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
@@ -170,7 +161,7 @@ def pack(
         schema = pa.schema(
             [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
         )
-        encode, end = encoder(path, False, special_as_text), end_id.to_bytes(4, "little")
+        encode, end = encoder(path, False, special_as_text, stops=True), end_id.to_bytes(4, "little")
         new = lambda: _Block(window, max_gap, sentence_penalty, inner_penalty)
         block, sequence = new(), TaskContext.get().partitionId() << 40
 
@@ -184,9 +175,9 @@ def pack(
             for part in slices(batch):
                 texts = part.column(1).cast(pa.binary()).to_pylist()
                 words = [encode.lowered(t or b"").replace(b"\n", line_end).split() for t in texts]
-                for doc_id, own, ids in zip(part.column(0).to_pylist(), words, encode.encode(words)):
-                    places = np.cumsum(_lengths(ids), dtype=np.int64)[sentence_ends(own)] >> 2
-                    block.add(doc_id, b"".join(ids) + end, places.tolist())
+                for doc_id, marked in zip(part.column(0).to_pylist(), encode.encode(words)):
+                    ids, places = without_stops(b"".join(marked))
+                    block.add(doc_id, ids + end, places)
                     if block.tokens >= block_tokens:
                         yield flush()
         if block.docs:

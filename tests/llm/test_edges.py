@@ -66,6 +66,23 @@ def test_encoders_equal_the_library():
             assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids(name, t, []) for t in odd]
 
 
+def test_stops_mark_where_sentences_and_lines_end():
+    path, break_ = common.tokenizer_file("word_bpe_49k.json"), b" " + common.Encoder.BREAK + b" "
+    odd = ["", "\n", "one. two", 'he said "no." (yes!) [3.14] 5.', "...\n\n?! a.b c", "." * 80, "x" * 80 + ".", "é. ß! word... word...'", "<|endoftext|>. end<|endoftext|>", "')", "'a' b)"] + [t for _, t in TEXTS if t]
+    odd += ["".join(random.Random(i).choices("ab é.!?'\")]} \n", k=1 + i % 60)) for i in range(300)]
+    marking, plain = common.Encoder(path, False, keep=50, stops=True), common.Encoder(path, False)
+    for _ in range(2):
+        for a in range(0, len(odd), 16):
+            lists = [plain.lowered(t.encode()).replace(b"\n", break_).split() for t in odd[a : a + 16]]
+            for words, marked, parts in zip(lists, marking.encode(lists), plain.encode(lists)):
+                places, here = [], 0
+                for w, part in zip(words, parts):
+                    here += len(part) // 4
+                    if w == common.Encoder.BREAK or w.rstrip(b"\"')]}").endswith((b".", b"!", b"?")):
+                        places.append(here)
+                assert packing.without_stops(b"".join(marked)) == (b"".join(parts), places)
+
+
 def test_packing(spark, docs, none):
     rows = packing.pack(docs.where("doc_id is not null"), block_tokens=3000).select("doc_id", "start", "length", F.crc32("ids"), "doc_tokens", "sequence_id", "offset").collect()
     brute.packing_ok([tuple(r) for r in rows], {i: ids("word_bpe_49k.json", t, [1]) for i, t in TEXTS})
