@@ -476,6 +476,11 @@ def encoder(path: str, byte_level: bool, special_as_text: bool = False, stops: b
     return _encoders[key]
 
 
+def forget_encoders() -> None:
+    """Free what a Python worker that is used again remembers from an earlier stage."""
+    _encoders.clear()
+
+
 def slices(batch, rows: int = 256):
     """Cut an Arrow batch so that a few texts are held as Python objects at a time.
 

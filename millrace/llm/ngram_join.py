@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, free_shuffles, load, materialize, mixed, multipliers, ship, slices, word_hashes
+from millrace.llm.common import discard, forget_encoders, free_shuffles, load, materialize, mixed, multipliers, ship, slices, word_hashes
 from millrace.llm.components import components
 
 #: Bands of more segments are never reallocated, so that what allocate() collects is bounded.
@@ -173,6 +173,7 @@ def _digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
+        forget_encoders()
         bands = Bands(percent)
         nothing = (np.zeros(0, np.int64), np.zeros(0, bool), 0, b"")
         for batch in batches:
@@ -310,13 +311,13 @@ def _sharing(lists, p, q):
     _, value, times = np.unique(values, return_inverse=True, return_counts=True)
     number = np.cumsum(times > 1) - 1  # values of one row are left out
     row, value = row[times[value] > 1], number[value[times[value] > 1]]
-    wide = max(8, (1 << 24) // len(lists))
+    wide = max(8, (1 << 22) // len(lists))
     for a in range(0, int((times > 1).sum()), wide):
         now = (value >= a) & (value < a + wide)
         bits = np.zeros((len(lists), min(wide, int(value.max()) + 1 - a)), bool)
         bits[row[now], value[now] - a] = True
         bits = np.packbits(bits, axis=1)
-        step = max(1, (1 << 24) // bits.shape[1])
+        step = max(1, (1 << 20) // bits.shape[1])
         for k in range(0, len(p), step):
             shared[k : k + step] |= (bits[p[k : k + step]] & bits[q[k : k + step]]).any(axis=1)
     return shared
@@ -351,7 +352,7 @@ def _block_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
         if not len(i):
             return None
         sums = np.frombuffer(b"".join(g["sums"][begin:end].to_pylist()), np.uint8).reshape(end - begin, -1)
-        step, near = max(1, (1 << 24) // sums.shape[1]), np.zeros(len(i), bool)
+        step, near = max(1, (1 << 20) // sums.shape[1]), np.zeros(len(i), bool)
         for k in range(0, len(i), step):
             p, q = i[k : k + step], j[k : k + step]
             near[k : k + step] = np.count_nonzero(sums[p] != sums[q], axis=1) <= (size[p] + size[q]) * (100 - percent) // (100 + percent)
